@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("models",)
+FAMILIES = ("models", "funnels")
 
 
 def load():

@@ -17,6 +17,11 @@ class Stage:
     step: int
     name: str
     short: str | None = None
+    label_text: str | None = None
+
+    @property
+    def title(self) -> str:
+        return self.label_text or self.name.replace("_", " ").title()
 
     @property
     def reached(self) -> str:
@@ -39,10 +44,10 @@ class Stage:
 STAGES = (
     Stage(1, "landing_page", "landing"),
     Stage(2, "product_view"),
-    Stage(3, "add_to_cart"),
+    Stage(3, "add_to_cart", label_text="Add to Cart"),
     Stage(4, "checkout_started", "checkout"),
     Stage(5, "payment_started", "payment"),
-    Stage(6, "purchase"),
+    Stage(6, "purchase", label_text="Purchase Completed"),
 )
 NO_STAGE = "0_none"
 
