@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,22 @@ def money_or_zero(value) -> Column:
     return F.coalesce(money(value), F.lit(0).cast(MONEY))
 
 
+def unscaled(value, scale: int = 2) -> Column:
+    """A decimal as a whole number of its last place: cents for money."""
+    return (_col(value) * F.lit(10**scale)).cast("bigint")
+
+
+def sum_exact(value, scale: int = 2) -> Column:
+    """Exact decimal sum carried as a 64-bit integer, which aggregates far faster than wide
+    decimals. A total beyond 9e18 last places raises an error instead of wrapping."""
+    return scaled(F.sum(unscaled(value, scale)), scale)
+
+
+def scaled(units, scale: int = 2) -> Column:
+    """The inverse of ``unscaled``."""
+    return _col(units) * F.lit(Decimal(1).scaleb(-scale))
+
+
 def day_diff(start, end) -> Column:
     """Calendar-day boundaries between two instants (23:59 to 00:01 is one day)."""
     return F.date_diff(_col(end).cast("date"), _col(start).cast("date"))

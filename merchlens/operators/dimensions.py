@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.functions.scalar import MONEY, day_diff, safe_divide
+from merchlens.functions.scalar import MONEY, day_diff, safe_divide, sum_exact
 
 # Default calendar, frequency bands, monetary tiers, lifecycle states.
 CALENDAR = (date(2024, 1, 1), date(2026, 12, 31))
@@ -68,8 +68,8 @@ def product_sales(items: DataFrame) -> DataFrame:
     return items.groupBy("product_id").agg(
         F.count_distinct("order_id").alias("total_orders_count"),
         F.sum("quantity").alias("total_units_sold"),
-        F.sum("line_total").alias("total_revenue_generated"),
-        F.sum("line_profit").alias("total_profit_generated"),
+        sum_exact("line_total").alias("total_revenue_generated"),
+        sum_exact("line_profit").alias("total_profit_generated"),
     )
 
 

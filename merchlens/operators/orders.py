@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlens.functions.scalar import day_diff, month_offset, month_start, safe_divide
+from merchlens.functions.scalar import (
+    day_diff,
+    month_offset,
+    month_start,
+    safe_divide,
+    scaled,
+    sum_exact,
+    unscaled,
+)
 
 # Profit assumed for orders whose items are unknown.
 DEFAULT_MARGIN = "0.40"
+PROFIT_SCALE = 4  # places of money times that margin
 COMPLETED = "completed"
 
 
@@ -27,9 +36,9 @@ def order_items_agg(items: DataFrame, products: DataFrame) -> DataFrame:
     totals = items.join(known, "product_id", "left").groupBy("order_id").agg(
         F.sum("quantity").alias("total_items_count"),
         F.count_distinct("product_id").alias("distinct_products_count"),
-        F.sum("line_total").alias("gross_items_revenue"),
-        F.sum(F.col("quantity") * F.col("unit_cost")).alias("total_cogs"),
-        F.sum("line_profit").alias("gross_profit"),
+        sum_exact("line_total").alias("gross_items_revenue"),
+        scaled(F.sum(F.col("quantity") * unscaled("unit_cost"))).alias("total_cogs"),
+        sum_exact("line_profit").alias("gross_profit"),
         F.max("category").alias("primary_product_category"),
     )
     return totals.select(
@@ -73,8 +82,8 @@ def user_order_summary(orders: DataFrame, order_items: DataFrame) -> DataFrame:
         F.min("order_date").alias("first_date"),
         F.max("order_timestamp").alias("last_at"),
         F.max("order_date").alias("last_date"),
-        F.sum("total_amount").alias("revenue"),
-        F.sum("gross_profit").alias("profit"),
+        sum_exact("total_amount").alias("revenue"),
+        sum_exact("gross_profit", PROFIT_SCALE).alias("profit"),
     )
     value = safe_divide("revenue", "orders")
     return totals.select(
@@ -109,12 +118,15 @@ def user_cohort_monthly(users: DataFrame, orders: DataFrame, order_items: DataFr
         .withColumn("activity_month", month_start("order_date"))
         # The join above already placed rows by order id: this step moves nothing.
         .groupBy("order_id", "user_id", "activity_month")
-        .agg(F.sum("total_amount").alias("revenue"), F.sum("gross_profit").alias("profit"))
+        .agg(
+            F.sum(unscaled("total_amount")).alias("revenue"),
+            F.sum(unscaled("gross_profit", PROFIT_SCALE)).alias("profit"),
+        )
         .groupBy("user_id", "activity_month")
         .agg(
             F.count("order_id").alias("orders"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("profit").alias("profit"),
+            scaled(F.sum("revenue")).alias("revenue"),
+            scaled(F.sum("profit"), PROFIT_SCALE).alias("profit"),
         )
     )
     first = F.min("activity_month").over(Window.partitionBy("user_id"))

@@ -15,6 +15,7 @@ from merchlens.functions.scalar import (
     require_column,
     resolve_column,
     safe_divide,
+    sum_exact,
     year_month,
 )
 from merchlens.operators.funnel import OVERALL, slice_rows
@@ -307,7 +308,7 @@ def first_order_cohorts(orders: DataFrame) -> DataFrame:
     those rows.
     """
     monthly = orders.groupBy("user_id", month_start("order_timestamp").alias("month")).agg(
-        F.sum("total_amount").alias("revenue")
+        sum_exact("total_amount").alias("revenue")
     )
     first = F.min("month").over(Window.partitionBy("user_id"))
     cohorts = monthly.withColumn("cohort_month", first).groupBy(
@@ -328,7 +329,7 @@ def first_order_cohorts(orders: DataFrame) -> DataFrame:
 def segment_ltv(orders: DataFrame, users: DataFrame) -> DataFrame:
     """Revenue per active user by cohort, segment and month since the first order."""
     monthly = orders.groupBy("user_id", month_start("order_timestamp").alias("month")).agg(
-        F.sum("total_amount").alias("revenue")
+        sum_exact("total_amount").alias("revenue")
     )
     first = F.min("month").over(Window.partitionBy("user_id"))
     people = users.select("user_id", "customer_segment")

@@ -6,12 +6,13 @@ columns carry blanks and mixed case on purpose, so that staging has something to
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.functions.scalar import MONEY, money
+from merchlens.functions.scalar import MONEY, money, sum_exact
 from merchlens.operators.sessions import Stage, user_days
 
 # Fixed values of the bindings.
@@ -20,21 +21,48 @@ EXPERIMENT = "checkout_optimization"
 BOUND_SIGNUP_START = "1994-12-01"
 
 
-@dataclass(frozen=True)
+# The columns of the test tables. Stating them saves a schema-inference job per read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+RAW = ("users", "products", "sessions", "events", "orders", "order_items")
+
+
 class RawTables:
-    users: DataFrame
-    products: DataFrame
-    sessions: DataFrame
-    events: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
+    """The six raw tables by name, each built when first asked for."""
+
+    def __init__(self, **builders: Callable[[], DataFrame]):
+        missing = set(RAW) - set(builders)
+        if missing:
+            raise KeyError(f"missing raw tables: {sorted(missing)}")
+        self._builders, self._built = builders, {}
+
+    @classmethod
+    def of(cls, **frames: DataFrame) -> RawTables:
+        return cls(**{name: (lambda frame=frame: frame) for name, frame in frames.items()})
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._builders:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
 
     def items(self):
-        return self.__dict__.items()
+        return [(name, getattr(self, name)) for name in RAW]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _device(user):
@@ -125,7 +153,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     subtotal = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("order_id"))
-        .agg(F.sum(money("l_extendedprice")).cast(MONEY).alias("subtotal"))
+        .agg(sum_exact(money("l_extendedprice")).cast(MONEY).alias("subtotal"))
     )
     nothing = F.lit(None).cast(MONEY)
     return _order_rows(spark, sf_dir).join(subtotal, "order_id", "left").select(
@@ -246,21 +274,21 @@ def raw_click_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_world(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(
-        users=raw_users(spark, sf_dir),
-        products=raw_products(spark, sf_dir),
-        sessions=raw_order_sessions(spark, sf_dir),
-        events=raw_events(spark, sf_dir),
-        orders=raw_orders(spark, sf_dir),
-        order_items=raw_order_items(spark, sf_dir),
+        users=partial(raw_users, spark, sf_dir),
+        products=partial(raw_products, spark, sf_dir),
+        sessions=partial(raw_order_sessions, spark, sf_dir),
+        events=partial(raw_events, spark, sf_dir),
+        orders=partial(raw_orders, spark, sf_dir),
+        order_items=partial(raw_order_items, spark, sf_dir),
     )
 
 
 def click_world(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(
-        users=raw_users(spark, sf_dir),
-        products=raw_products(spark, sf_dir),
-        sessions=raw_click_sessions(spark, sf_dir),
-        events=raw_events(spark, sf_dir),
-        orders=raw_click_orders(spark, sf_dir),
-        order_items=raw_click_items(spark, sf_dir),
+        users=partial(raw_users, spark, sf_dir),
+        products=partial(raw_products, spark, sf_dir),
+        sessions=partial(raw_click_sessions, spark, sf_dir),
+        events=partial(raw_events, spark, sf_dir),
+        orders=partial(raw_click_orders, spark, sf_dir),
+        order_items=partial(raw_click_items, spark, sf_dir),
     )
