@@ -27,3 +27,9 @@ def slices(table: str, dimensions: list[str], body: str) -> str:
         for d in dimensions
     ]
     return "\nUNION ALL\n".join(parts)
+
+
+def mean_money(total: str, count: str) -> str:
+    """Exact half-up division to two places (totals are not negative)."""
+    cents = f"CAST(({total}) * 100 AS HUGEINT)"
+    return f"CAST((2 * {cents} + ({count})) // nullif(2 * CAST(({count}) AS HUGEINT), 0) AS DOUBLE) / 100"

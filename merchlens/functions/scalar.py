@@ -28,6 +28,12 @@ def pct(numerator, denominator, digits: int = 2, default: float | None = None) -
     return share if default is None else F.coalesce(share, F.lit(float(default)))
 
 
+def mean_money(total, count, digits: int = 2) -> Column:
+    """Exact decimal division rounded half up, as a double; null for a zero count."""
+    ratio = F.try_divide(_col(total).cast("decimal(28,2)"), _col(count).cast("decimal(12,0)"))
+    return F.round(ratio, digits).cast("double")
+
+
 def money(value) -> Column:
     return _col(value).cast(MONEY)
 

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from merchlens.functions.scalar import (
     flag,
+    mean_money,
     month_offset,
     month_start,
     pct,
     require_column,
     resolve_column,
-    safe_divide,
     sum_exact,
     year_month,
 )
@@ -58,7 +58,7 @@ def retention_rates(fact: DataFrame) -> DataFrame:
         pct("active_users", "cohort_initial_users").alias("retention_rate_pct"),
         "total_orders",
         "total_revenue",
-        F.round(safe_divide("total_revenue", "cohort_initial_users"), 2).alias("ltv_per_cohort_user"),
+        mean_money("total_revenue", "cohort_initial_users").alias("ltv_per_cohort_user"),
     )
 
 
@@ -107,8 +107,8 @@ def repeat_summary(users: DataFrame) -> DataFrame:
         "repeat_customers",
         "one_time_buyers",
         pct("repeat_customers", "total_purchasing_customers").alias("repeat_purchase_rate_pct"),
-        F.round(safe_divide("__revenue", "total_purchasing_customers"), 2).alias("overall_customer_aov"),
-        F.round(safe_divide("__repeat_revenue", "repeat_customers"), 2).alias("repeat_customer_arpu"),
+        mean_money("__revenue", "total_purchasing_customers").alias("overall_customer_aov"),
+        mean_money("__repeat_revenue", "repeat_customers").alias("repeat_customer_arpu"),
     )
 
 
@@ -131,8 +131,8 @@ def repeat_by_segment(users: DataFrame, dimension: str = "customer_segment") ->
         "total_customers",
         "repeat_customers",
         pct("repeat_customers", "total_customers").alias("repeat_purchase_rate_pct"),
-        F.round(safe_divide("__orders", "total_customers"), 2).alias("avg_orders_per_customer"),
-        F.round(safe_divide("__revenue", "total_customers"), 2).alias("avg_lifetime_revenue"),
+        mean_money("__orders", "total_customers").alias("avg_orders_per_customer"),
+        mean_money("__revenue", "total_customers").alias("avg_lifetime_revenue"),
     )
 
 
@@ -142,7 +142,7 @@ def repeat_by_channel(users: DataFrame, dimension: str = "acquisition_channel")
         "total_customers",
         "repeat_customers",
         pct("repeat_customers", "total_customers").alias("repeat_purchase_rate_pct"),
-        F.round(safe_divide("__revenue", "total_customers"), 2).alias("avg_ltv"),
+        mean_money("__revenue", "total_customers").alias("avg_ltv"),
         F.round("__revenue", 2).alias("channel_total_revenue"),
     )
 
@@ -165,7 +165,7 @@ def cohort_ltv(fact: DataFrame) -> DataFrame:
             "month_offset",
             F.col("total_revenue").alias("month_revenue"),
             "cumulative_cohort_revenue",
-            F.round(safe_divide("cumulative_cohort_revenue", "cohort_size"), 2).alias("cumulative_ltv_per_user"),
+            mean_money("cumulative_cohort_revenue", "cohort_size").alias("cumulative_ltv_per_user"),
         )
     )
 
@@ -298,7 +298,7 @@ def ltv_curves(fact: DataFrame) -> DataFrame:
         F.col("total_revenue").alias("revenue"),
         size.alias("cohort_initial_size"),
         running.alias("cumulative_revenue"),
-    ).withColumn("cumulative_ltv", F.round(safe_divide("cumulative_revenue", "cohort_initial_size"), 2))
+    ).withColumn("cumulative_ltv", mean_money("cumulative_revenue", "cohort_initial_size"))
 
 
 def first_order_cohorts(orders: DataFrame) -> DataFrame:
@@ -322,7 +322,7 @@ def first_order_cohorts(orders: DataFrame) -> DataFrame:
         "initial_users",
         pct("active_users", "initial_users").alias("retention_rate"),
         running.alias("cumulative_revenue"),
-        F.round(safe_divide(running, "initial_users"), 2).alias("cumulative_ltv_per_user"),
+        mean_money(running, "initial_users").alias("cumulative_ltv_per_user"),
     )
 
 
@@ -338,7 +338,7 @@ def segment_ltv(orders: DataFrame, users: DataFrame) -> DataFrame:
         .join(people, "user_id")
         .groupBy("cohort_month", "customer_segment", month_offset("cohort_month", "month").alias("month_offset"))
         .agg(F.count("user_id").alias("active_users"), F.sum("revenue").alias("revenue"))
-        .withColumn("ltv_per_acquired_user", F.round(safe_divide("revenue", "active_users"), 2))
+        .withColumn("ltv_per_acquired_user", mean_money("revenue", "active_users"))
     )
 
 
