@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("models", "funnels", "cohorts", "experiments", "business")
+FAMILIES = ("models", "funnels", "cohorts", "experiments", "business", "trust")
 
 
 def load():

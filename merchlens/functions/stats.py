@@ -8,11 +8,12 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlens.functions.scalar import safe_divide
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def erfc(values: pd.Series) -> pd.Series:
     """Complementary error function. Only ever sees one row per experiment slice."""
     return values.map(math.erfc, na_action="ignore")
