@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("models", "funnels", "cohorts", "experiments", "business", "trust", "pipelines")
+FAMILIES = ("models", "funnels", "cohorts", "experiments", "business", "trust", "pipelines", "relational")
 
 
 def load():

@@ -132,7 +132,10 @@ def all_of(conditions: Iterable[Column]) -> Column:
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """The same helpers as temporary SQL functions, for people who write SQL."""
+    """The same helpers as temporary SQL functions, for people who write SQL.
+
+    A SQL function cannot aggregate: for "any true" write the built-in ``bool_or``.
+    """
     for statement in (
         "CREATE OR REPLACE TEMPORARY FUNCTION safe_divide(n DOUBLE, d DOUBLE) RETURNS DOUBLE RETURN try_divide(n, d)",
         "CREATE OR REPLACE TEMPORARY FUNCTION day_diff(a TIMESTAMP, b TIMESTAMP) RETURNS INT "
@@ -140,7 +143,6 @@ def register_sql_functions(spark: SparkSession) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION month_start(d DATE) RETURNS DATE RETURN trunc(d, 'MM')",
         "CREATE OR REPLACE TEMPORARY FUNCTION subtract_days(t TIMESTAMP, n INT) RETURNS TIMESTAMP "
         "RETURN t - make_dt_interval(n)",
-        "CREATE OR REPLACE TEMPORARY FUNCTION logical_or(b BOOLEAN) RETURNS BOOLEAN RETURN bool_or(b)",
         "CREATE OR REPLACE TEMPORARY FUNCTION format_month(d DATE) RETURNS STRING RETURN date_format(d, 'yyyy-MM')",
     ):
         spark.sql(statement)

@@ -254,7 +254,9 @@ def retention_invariants(rates: DataFrame, tolerance: float = 0.01) -> DataFrame
     seen = rates.groupBy("cohort_month").agg(F.min("month_offset").alias("first")).agg(
         F.count(F.lit(1)).alias("cohort_count"), F.min("first").alias("first")
     )
-    return broken.join(seen).select(
+    both = broken.unionByName(seen, allowMissingColumns=True)
+    known = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return known.select(
         ((F.col("a") == 0) & ((F.col("cohort_count") == 0) | (F.col("first") == 0))).alias("month_0_is_100_percent"),
         (F.col("b") == 0).alias("decay_monotonic_vs_m0"),
         (F.col("c") == 0).alias("all_decay_monotonic"),
@@ -378,4 +380,5 @@ def retention_report(fact: DataFrame, orders: DataFrame) -> DataFrame:
         F.coalesce(F.max("repeat_users"), F.lit(0)).alias("repeat_purchasing_users"),
         F.coalesce(F.max("repeat_purchase_rate"), F.lit(0.0)).alias("repeat_purchase_rate"),
     )
-    return retention_invariants(rates).join(repeat)
+    both = retention_invariants(rates).unionByName(repeat, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

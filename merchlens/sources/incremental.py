@@ -59,8 +59,8 @@ def look_back_floor(target: DataFrame, column: str, days: int = LOOK_BACK_DAYS):
     return None if newest is None else newest - timedelta(days=days)
 
 
-def _one_of(column: str, values: Sequence) -> Column:
-    present = [v for v in values if v is not None]
+def _one_of(column: str, values: set) -> Column:
+    present = sorted((v for v in values if v is not None), key=str)
     condition = F.col(column).isin(present) if present else F.lit(False)
     return condition | F.col(column).isNull() if len(present) < len(values) else condition
 
@@ -85,17 +85,28 @@ def merge_into(
         _write(fresh, path, partition, cluster)
         return
     target = spark.read.option("mergeSchema", True).parquet(path)
-    days = {row[0] for row in fresh.select(partition).distinct().collect()}
-    if not days:
+    arriving = _values(fresh, partition)
+    if not arriving:
         return
-    moved = target.select(*key, partition).join(fresh.select(*key), list(key), "left_semi")
-    days |= {row[0] for row in moved.select(partition).distinct().collect()}
-    touched = target.where(_one_of(partition, sorted(days, key=str)))
-    _write(merge(touched, fresh, key), path, partition, cluster)
+    leaving = _values(target.join(fresh.select(*key), list(key), "left_semi"), partition) - arriving
+    touched = target.where(_one_of(partition, arriving | leaving))
+    merged = merge(touched, fresh, key)
+    # A dynamic overwrite replaces partitions it has rows for; those left without must go.
+    emptied = leaving - _values(merged.where(_one_of(partition, leaving)), partition) if leaving else set()
+    _write(merged, path, partition, cluster)
+    for value in emptied:
+        system, folder = _file_system(spark, f"{path}/{partition}={value}")
+        system.delete(folder, True)
+
+
+def _values(df: DataFrame, column: str) -> set:
+    """Distinct values of a partition column: days or months, never keys."""
+    return {row[0] for row in df.select(column).distinct().collect()}
 
 
 def _write(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
-    arranged = df.repartitionByRange(partition, *cluster) if cluster else df.repartition(partition)
+    """Rewrite partitions. A partition with many rows is cut into several files, not one task."""
+    arranged = df.repartitionByRange(partition, *cluster) if cluster else df.hint("rebalance", partition)
     (
         arranged.sortWithinPartitions(partition, *cluster)
         .write.mode("overwrite")
