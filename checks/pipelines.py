@@ -186,7 +186,9 @@ def _incremental_orders(spark, sf_dir, batches):
             # Few orders per day here: partition by month.
             return kept.select(*_FACT_COLUMNS, F.trunc("order_date", "MM").alias("order_month"))
 
-        incremental.incremental_build(spark, path, build, ["order_id"], "order_month", "order_timestamp", days=3)
+        incremental.incremental_build(
+            spark, path, build, ["order_id"], "order_month", "order_timestamp", days=3, fixed_partition=True
+        )
     return spark.read.parquet(path).drop("order_timestamp", "order_month")
 
 

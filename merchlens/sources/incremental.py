@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,14 +74,35 @@ def merge_into(
     partition: str,
     order: Sequence[str] | None = None,
     cluster: Sequence[str] = (),
+    fixed_partition: bool = False,
 ) -> None:
     """Upsert ``delta`` into the table at ``path``; rewrite only the partitions it touches.
 
     Touched are the partitions of the delta and those that hold an older row of one of its
     keys. Both lists are partition values (days), which is what the driver gets to see. The
     same batch twice leaves the same table.
+
+    ``fixed_partition`` states that a key never changes its partition (an order keeps its
+    date); then only the partitions of the delta are read, not the keys of the whole table.
     """
     fresh = latest_rows(delta, key, order) if order else delta.dropDuplicates(list(key))
+    # Read several times below; a lost executor's part is computed again.
+    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _merge_fresh(spark, path, fresh, key, partition, cluster, fixed_partition)
+    finally:
+        fresh.unpersist()
+
+
+def _merge_fresh(
+    spark: SparkSession,
+    path: str,
+    fresh: DataFrame,
+    key: Sequence[str],
+    partition: str,
+    cluster: Sequence[str],
+    fixed_partition: bool,
+) -> None:
     if not has_partitions(spark, path):
         _write(fresh, path, partition, cluster)
         return
@@ -88,7 +110,9 @@ def merge_into(
     arriving = _values(fresh, partition)
     if not arriving:
         return
-    leaving = _values(target.join(fresh.select(*key), list(key), "left_semi"), partition) - arriving
+    leaving = set()
+    if not fixed_partition:
+        leaving = _values(target.join(fresh.select(*key), list(key), "left_semi"), partition) - arriving
     touched = target.where(_one_of(partition, arriving | leaving))
     merged = merge(touched, fresh, key)
     # A dynamic overwrite replaces partitions it has rows for; those left without must go.
@@ -125,13 +149,14 @@ def incremental_build(
     watermark: str,
     days: int = LOOK_BACK_DAYS,
     cluster: Sequence[str] = (),
+    fixed_partition: bool = False,
 ) -> DataFrame:
     """Full build the first time, afterwards the rows of the look-back window merged by key.
 
     ``build(since)`` gives the model from ``since`` on (all of it for None).
     """
     floor = look_back_floor(spark.read.parquet(path), watermark, days) if has_partitions(spark, path) else None
-    merge_into(spark, path, build(floor), key, partition, [watermark], cluster)
+    merge_into(spark, path, build(floor), key, partition, [watermark], cluster, fixed_partition)
     return spark.read.parquet(path)
 
 
