@@ -1,8 +1,8 @@
 """Windows and joins that stay parallel when one key holds a large part of the rows.
 
-A key is *hot* when it holds more than ``HOT_ROWS`` rows and more than one part in
-``MAX_HOT_KEYS`` of the table. The second condition bounds the number of hot keys by
-arithmetic, so the list of them is always small enough to broadcast.
+A key is *hot* when it holds more than ``HOT_ROWS`` rows; of those only the ``MAX_HOT_KEYS``
+largest are treated as hot, so the list of them is always small enough to broadcast. Being hot
+changes how rows are placed, never the result: keys off the list take the plain path.
 """
 
 from __future__ import annotations
@@ -21,13 +21,15 @@ SALTS = 64
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys that hold too many rows for one task; at most ``MAX_HOT_KEYS`` of them.
 
-    Reads the key columns only and counts before the shuffle.
+    Reads the key columns only and counts before the shuffle. Ties are broken by key, so two
+    evaluations agree.
     """
-    rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .where((F.col("__rows") > hot_rows) & (F.col("__rows") * MAX_HOT_KEYS > rows))
+        .where(F.col("__rows") > hot_rows)
+        .orderBy(F.desc("__rows"), *keys)
+        .limit(MAX_HOT_KEYS)
         .select(*keys)
     )
 
@@ -117,6 +119,7 @@ def fan_out_join(
     are copied to each. A hot key has a match by definition, so copies that found none are
     surplus and are removed; every other row keeps plain left-join behaviour.
     """
+    right = right.where(F.col(key).isNotNull())  # a null key matches nothing
     salt = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
     spread = (
         mark_hot(right, right, key, hot_rows)
@@ -126,8 +129,7 @@ def fan_out_join(
         .drop("__is_hot")
     )
     copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    # A null key never matches, so it is never copied.
-    copied = mark_hot(left, right.where(F.col(key).isNotNull()), key, hot_rows).withColumn("__copy", F.explode(copies))
+    copied = mark_hot(left, right, key, hot_rows).withColumn("__copy", F.explode(copies))
     on = (F.col(key) == F.col("__right_key")) & (F.col("__copy") == F.col("__salt"))
     joined = copied.join(spread, on, "left")
     return joined.where(~F.col("__is_hot") | F.col("__match")).drop(

@@ -32,13 +32,21 @@ def completed(orders: DataFrame) -> DataFrame:
 
 def order_items_agg(items: DataFrame, products: DataFrame) -> DataFrame:
     """Units, revenue, cost, profit and main category per order."""
+    # One row per order and product first: products are then counted plainly, and only that
+    # smaller set meets the catalog and the (sort-based) maximum over text.
+    lines = items.groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("units"),
+        F.sum(unscaled("line_total")).alias("revenue"),
+        F.sum(F.col("quantity") * unscaled("unit_cost")).alias("cost"),
+        F.sum(unscaled("line_profit")).alias("profit"),
+    )
     known = products.select("product_id", "category")
-    totals = items.join(known, "product_id", "left").groupBy("order_id").agg(
-        F.sum("quantity").alias("total_items_count"),
-        F.count_distinct("product_id").alias("distinct_products_count"),
-        sum_exact("line_total").alias("gross_items_revenue"),
-        scaled(F.sum(F.col("quantity") * unscaled("unit_cost"))).alias("total_cogs"),
-        sum_exact("line_profit").alias("gross_profit"),
+    totals = lines.join(known, "product_id", "left").groupBy("order_id").agg(
+        F.sum("units").alias("total_items_count"),
+        F.count("product_id").alias("distinct_products_count"),
+        scaled(F.sum("revenue")).alias("gross_items_revenue"),
+        scaled(F.sum("cost")).alias("total_cogs"),
+        scaled(F.sum("profit")).alias("gross_profit"),
         F.max("category").alias("primary_product_category"),
     )
     return totals.select(
