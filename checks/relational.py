@@ -114,7 +114,7 @@ def orphan_items(spark, sf_dir):
 @query("jn_6_semi", "SELECT session_id, device_type FROM stg_sessions WHERE session_id IN (SELECT session_id FROM stg_events WHERE event_type = 'purchase')", "click")
 def semi(spark, sf_dir):
     w = clicks(spark, sf_dir)
-    bought = w.stg_events.where(F.col("event_type") == "purchase").select("session_id")
+    bought = w.stg_events.where(F.col("event_type") == "purchase").select("session_id").distinct()
     return w.stg_sessions.select("session_id", "device_type").join(bought, "session_id", "left_semi")
 
 

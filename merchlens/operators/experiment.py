@@ -274,7 +274,7 @@ def srm_table(fact: DataFrame) -> DataFrame:
 
 def revenue_by_variant(sessions: DataFrame, events: DataFrame, orders: DataFrame, entry: str) -> DataFrame:
     """Sessions at the entry stage, conversions and revenue per arm."""
-    entered = events.where(F.col("event_type") == entry).select("session_id")
+    entered = events.where(F.col("event_type") == entry).select("session_id").distinct()
     spent = orders.groupBy("session_id").agg(
         F.count("total_amount").alias("orders"), F.sum("total_amount").alias("revenue")
     )

@@ -163,16 +163,16 @@ def duplicated_values(df: DataFrame, *columns: str) -> DataFrame:
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Non-null child keys without a parent, and how many child rows hold each.
 
-    Child rows shrink to one per key before the join, so a hot key costs one row.
+    Both sides shrink to one row per key before the join, so a hot key costs one row.
     """
     keys = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    known = parent.select(F.col(parent_key).alias("__parent"))
+    known = parent.select(F.col(parent_key).alias("__parent")).distinct()
     return keys.join(known, F.col(key) == F.col("__parent"), "left_anti")
 
 
 def childless(parent: DataFrame, key: str, child: DataFrame, child_key: str) -> DataFrame:
     """Parent rows that no child refers to."""
-    used = child.select(F.col(child_key).alias("__child"))
+    used = child.select(F.col(child_key).alias("__child")).distinct()
     return parent.join(used, F.col(key) == F.col("__child"), "left_anti")
 
 
@@ -467,7 +467,7 @@ def pricing_violations(orders: DataFrame, rule: Pricing = Pricing()) -> DataFram
 
 def allocation_check(events: DataFrame, sessions: DataFrame, orders: DataFrame, entry: str, alpha: float = 0.01) -> DataFrame:
     """Arms at the entry stage, their chi-square and p-value, conversions and lift."""
-    entered = events.where(F.col("event_type") == entry).select("session_id")
+    entered = events.where(F.col("event_type") == entry).select("session_id").distinct()
     arms = sessions.select("session_id", "ab_variant").join(entered, "session_id", "left_semi").agg(
         F.count_if(F.col("ab_variant") == "control").alias("n_control"),
         F.count_if(F.col("ab_variant") == "treatment").alias("n_treatment"),

@@ -16,8 +16,8 @@ def star_revenue(
     """Orders, revenue, profit and margin by segment, category and year.
 
     Items shrink to one row per order and product before they meet the dimensions; orders of
-    a slice are counted by collapsing the order first. Catalyst picks each join's strategy
-    from the sizes it measures.
+    a slice are counted by collapsing the order first. Only the calendar is broadcast, whose
+    rows are days; for the other joins Catalyst goes by the sizes it measures.
     """
     lines = items.groupBy("order_id", "product_id").agg(
         sum_exact("total_item_price").alias("revenue"), sum_exact("line_profit").alias("profit")
@@ -26,7 +26,7 @@ def star_revenue(
         lines.join(products.select("product_id", "category"), "product_id")
         .join(orders.select("order_id", "user_id", "order_date"), "order_id")
         .join(users.select("user_id", "customer_segment"), "user_id")
-        .join(calendar.select(F.col("date_day").alias("order_date"), "year"), "order_date")
+        .join(F.broadcast(calendar.select(F.col("date_day").alias("order_date"), "year")), "order_date")
     )
     slices = ["customer_segment", "category", "year"]
     per_order = joined.groupBy(*slices, "order_id").agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))

@@ -130,7 +130,8 @@ def _values(df: DataFrame, column: str) -> set:
 
 def _write(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
     """Rewrite partitions. A partition with many rows is cut into several files, not one task."""
-    arranged = df.repartitionByRange(partition, *cluster) if cluster else df.hint("rebalance", partition)
+    spread = [*cluster, F.xxhash64(*df.columns)]
+    arranged = df.repartitionByRange(partition, *spread) if cluster else df.hint("rebalance", partition)
     (
         arranged.sortWithinPartitions(partition, *cluster)
         .write.mode("overwrite")

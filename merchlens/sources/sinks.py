@@ -38,7 +38,8 @@ def write_fact(df: DataFrame, path: str, column: str, cluster: Sequence[str], gr
     """
     name = f"{column}_{grain}"
     keyed = df.withColumn(name, partition_value(column, grain))
-    arranged = keyed.repartitionByRange(name, *cluster).sortWithinPartitions(name, *cluster)
+    # The row hash only splits a run of equal cluster values that is too long for one task.
+    arranged = keyed.repartitionByRange(name, *cluster, F.xxhash64(*df.columns)).sortWithinPartitions(name, *cluster)
     (
         arranged.write.mode("overwrite")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
@@ -50,7 +51,7 @@ def write_fact(df: DataFrame, path: str, column: str, cluster: Sequence[str], gr
 
 def write_dimension(df: DataFrame, path: str, cluster: Sequence[str]) -> None:
     """Rows ordered by the cluster columns across and within files."""
-    arranged = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
+    arranged = df.repartitionByRange(*cluster, F.xxhash64(*df.columns)).sortWithinPartitions(*cluster)
     arranged.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
@@ -70,8 +71,8 @@ def report_lines(df: DataFrame) -> DataFrame:
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A report as one JSON-lines file; reports hold a few rows per slice."""
-    report_lines(df).coalesce(1).write.mode("overwrite").text(path)
+    """A report as JSON lines; AQE folds a report's few rows into one file."""
+    report_lines(df).write.mode("overwrite").text(path)
 
 
 def _differs(kind: T.DataType, a: Column, b: Column) -> Column:
