@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import clicks, query, shop
 from checks.sqltext import big, dbl
+from merchlens.functions.scalar import sum_exact
 from merchlens.operators import facts, quality, search
 from merchlens.operators.sessions import sessionise
 from merchlens.session import work_dir
@@ -392,8 +393,15 @@ def product_page(spark, sf_dir):
 
 @query(
     "flt_6_orders_of_user",
-    f"SELECT order_id, order_timestamp, {dbl('total_amount')} AS total_amount FROM stg_orders WHERE user_id = 7 ORDER BY order_timestamp DESC, order_id LIMIT 5 OFFSET 0",
+    f"""
+WITH best AS (SELECT user_id FROM stg_orders GROUP BY 1 ORDER BY sum(total_amount) DESC, user_id LIMIT 1)
+SELECT order_id, order_timestamp, {dbl('total_amount')} AS total_amount FROM stg_orders
+WHERE user_id = (SELECT user_id FROM best) ORDER BY order_timestamp DESC, order_id LIMIT 5""",
 )
 def orders_of_user(spark, sf_dir):
-    found = search.orders_of_user(shop(spark, sf_dir).stg_orders, 7, 0, 5)
+    """First page of the orders of the user who spent most."""
+    orders = shop(spark, sf_dir).stg_orders
+    spent = orders.groupBy("user_id").agg(sum_exact("total_amount").alias("spent"))
+    best = spent.agg(F.max_by("user_id", F.struct("spent", -F.col("user_id")))).scalar()
+    found = search.orders_of_user(orders, best, 0, 5)
     return found.select("order_id", "order_timestamp", "total_amount")

@@ -54,8 +54,15 @@ def merge(target: DataFrame, delta: DataFrame, key: Sequence[str]) -> DataFrame:
     return kept.unionByName(delta, allowMissingColumns=True)
 
 
-def look_back_floor(target: DataFrame, column: str, days: int = LOOK_BACK_DAYS):
-    """The literal the next run filters on: newest value less ``days``. None when empty."""
+def look_back_floor(target: DataFrame, column: str, days: int = LOOK_BACK_DAYS, partition: str | None = None):
+    """The literal the next run filters on: newest value less ``days``. None when empty.
+
+    With ``partition`` only the last partition is read. Should a newer value sit elsewhere,
+    the floor is merely lower and more rows are merged again.
+    """
+    if partition:
+        last = target.agg(F.max(partition)).first()[0]
+        target = target.where(F.col(partition) == F.lit(last))
     newest = target.agg(F.max(column)).first()[0]
     return None if newest is None else newest - timedelta(days=days)
 
@@ -156,7 +163,9 @@ def incremental_build(
 
     ``build(since)`` gives the model from ``since`` on (all of it for None).
     """
-    floor = look_back_floor(spark.read.parquet(path), watermark, days) if has_partitions(spark, path) else None
+    floor = None
+    if has_partitions(spark, path):
+        floor = look_back_floor(spark.read.parquet(path), watermark, days, partition)
     merge_into(spark, path, build(floor), key, partition, [watermark], cluster, fixed_partition)
     return spark.read.parquet(path)
 

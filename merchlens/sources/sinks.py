@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Partition column, its grain, and the columns rows are clustered by.
+# Partition column and the columns rows are clustered by. The retention fact holds
+# month starts, so its partitions are months.
 LAYOUT = {
-    "fct_funnel": ("session_date", "day", ("device_type", "country", "traffic_source", "ab_variant")),
-    "fct_orders": ("order_date", "day", ("user_id", "status", "ab_variant")),
-    "fct_ab_test": ("session_date", "day", ("ab_variant", "device_type", "country")),
-    "fct_user_retention": ("activity_month", "month", ("cohort_month", "customer_segment", "country")),
-    "dim_users": (None, None, ("customer_segment", "country", "device_preference")),
-    "dim_products": (None, None, ("category",)),
+    "fct_funnel": ("session_date", ("device_type", "country", "traffic_source", "ab_variant")),
+    "fct_orders": ("order_date", ("user_id", "status", "ab_variant")),
+    "fct_ab_test": ("session_date", ("ab_variant", "device_type", "country")),
+    "fct_user_retention": ("activity_month", ("cohort_month", "customer_segment", "country")),
+    "dim_users": (None, ("customer_segment", "country", "device_preference")),
+    "dim_products": (None, ("category",)),
 }
 ROWS_PER_FILE = 5_000_000
 
@@ -26,25 +27,21 @@ def export(df: DataFrame, folder: str, name: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
 
 
-def partition_value(column: str, grain: str) -> Column:
-    return F.trunc(column, "MM") if grain == "month" else F.col(column)
+def write_fact(df: DataFrame, path: str, column: str, cluster: Sequence[str]) -> None:
+    """One folder per value of a date column, rows sorted by the cluster columns in each file.
 
-
-def write_fact(df: DataFrame, path: str, column: str, cluster: Sequence[str], grain: str = "day") -> None:
-    """One folder per day (or month), rows sorted by the cluster columns within each file.
+    A later filter on the date column prunes folders.
 
     Rows are range-partitioned on day and cluster columns: a day with many rows is cut into
     several ordered files instead of going through one task, and parquet min/max skip files.
     """
-    name = f"{column}_{grain}"
-    keyed = df.withColumn(name, partition_value(column, grain))
     # The row hash only splits a run of equal cluster values that is too long for one task.
-    arranged = keyed.repartitionByRange(name, *cluster, F.xxhash64(*df.columns)).sortWithinPartitions(name, *cluster)
+    arranged = df.repartitionByRange(column, *cluster, F.xxhash64(*df.columns)).sortWithinPartitions(column, *cluster)
     (
         arranged.write.mode("overwrite")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .option("partitionOverwriteMode", "static")
-        .partitionBy(name)
+        .partitionBy(column)
         .parquet(path)
     )
 
@@ -56,9 +53,9 @@ def write_dimension(df: DataFrame, path: str, cluster: Sequence[str]) -> None:
 
 
 def write_mart(name: str, df: DataFrame, path: str) -> None:
-    column, grain, cluster = LAYOUT.get(name, (None, None, ()))
+    column, cluster = LAYOUT.get(name, (None, ()))
     if column:
-        write_fact(df, path, column, cluster, grain)
+        write_fact(df, path, column, cluster)
     elif cluster:
         write_dimension(df, path, cluster)
     else:
