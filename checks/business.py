@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from checks.registry import CLICK_AS_OF, ORDERS_AS_OF, clicks, query, shop
-from checks.sqltext import big, dbl, pct, ratio
+from checks.registry import ORDERS_AS_OF, clicks, query, shop
+from checks.sqltext import big, dbl, ratio
 from merchlens.operators import measures as msr
 
 CLICK_STAGE_COLUMNS = ("view", "view", "click", "click", "signup", "purchase")

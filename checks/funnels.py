@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import clicks, query, shop
+from checks.registry import clicks, query
 from checks.sqltext import big, dbl, pct, ratio, slices
 from merchlens.operators import funnel
-from merchlens.sources.bindings import CLICK_STAGES, raw_events
+from merchlens.sources.bindings import CLICK_STAGES
 
 STEPS = dict(view=1, cart=2, checkout=3, payment=3, purchase=4)
 SHORT = dict(cart=2, checkout=3, purchase=4)
