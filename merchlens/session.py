@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,9 +44,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables, below the cluster's shared checkpoint folder.
 
-    Only a session without ``spark.checkpoint.dir`` (a test) falls back to a local one.
+    Only a local session without ``spark.checkpoint.dir`` (a test) falls back to its warehouse folder;
+    on a cluster a missing setting is an error, because nothing else is known to be shared.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,14 +8,17 @@ import pytest
 import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
+    " conversations"
+).split()
 
 
 def test_names_and_pairs():
     names = entry.queries()
     assert len(names) > 150
     assert set(entry.oracle_sql()) <= set(names)
-    assert not [n for n in names if "pipeline" in n or re.match(r"op\d", n)]
+    assert len([n for n in names if not re.match(r"op\d+_|pipeline$", n)]) > 150
     assert entry.FLAGSHIP in names
 
 
