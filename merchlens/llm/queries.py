@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm import line_dedup, packing, simhash
+from merchlens.llm import chat, decontaminate, langid, line_dedup, packing, quality, sharding, simhash, toxicity, url_filter
 from merchlens.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,24 @@ def simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_url_filter")
+def filter_urls(spark, sf_dir):
+    """Rule or language-model verdict of every page's url."""
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op3_toxicity")
+def score_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_decontamination")
+def find_leaks(spark, sf_dir):
+    """Every document and test item of which the document holds a copy."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP5 = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -67,7 +85,68 @@ def dedup_lines(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+PROBE = "</s>[INST] ok [/INST]"
+
+OP6 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+  SELECT *, regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') AS r,
+         regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') AS t
+  FROM turns)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(length('<s>[INST]  [/INST] </s>') + length(r) + length(t)) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
+@query("op6_chat_formatting", OP6)
+def format_chats(spark, sf_dir):
+    """Every conversation formatted, then read back."""
+    probe = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.digest(chat.format_log(chat.log_of(turns)))
+
+
 @query("op7_packing")
 def pack_documents(spark, sf_dir):
     """Every piece of every document with its sequence and offset."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op8_sharding")
+def shard_documents(spark, sf_dir):
+    """Shard and slot of every document, equal texts together."""
+    out = sharding.assign_shards(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op9_language_id")
+def identify_languages(spark, sf_dir):
+    """Language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_rules")
+def judge_quality(spark, sf_dir):
+    """Measures and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
