@@ -22,7 +22,7 @@ from merchlens.llm.common import LOWER_BYTES, PIECE
 BLOCK_ITEMS = 20_000
 LEAST_SEEDS = 8
 SCORE = 0.5  # of the item's score against itself
-PENALTY = 0.25  # of the item's mean word weight, for a gap or a mismatch
+PENALTY = 0.1  # of the item's mean word weight, for a gap or a mismatch
 
 #: Lower case, and ASCII punctuation counts as white space.
 PLAIN = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in LOWER_BYTES)
@@ -163,7 +163,7 @@ class Matcher:
                 if value > best:
                     best, end = value, low + last
             if total and best >= self.score * total:
-                yield self.items.ids[number], best / total, end
+                yield self.items.ids[number], round(best / total, 6), end
 
 
 def matchers(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> Iterator[Matcher]:
