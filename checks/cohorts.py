@@ -14,9 +14,11 @@ active AS (SELECT cohort_month, month_offset, count(DISTINCT user_id) AS users,
 size AS (SELECT cohort_month, users AS base FROM active WHERE month_offset = 0)"""
 _WIDE = ", ".join(f"max(rate) FILTER (month_offset = {k}) AS m{k}_retention_pct" for k in range(7))
 _MATRIX = f"""
-WITH {_ACTIVE}, rates AS (SELECT a.*, base, {pct('users', 'base')} AS rate FROM active a JOIN size s USING (cohort_month))
-SELECT cohort_month, base AS cohort_initial_users, {{wide}}, round(avg(rate) FILTER (month_offset = 1), 2) AS avg_m1_retention
-FROM rates GROUP BY cohort_month, base"""
+WITH {_ACTIVE}, rates AS (SELECT a.*, base, {pct('users', 'base')} AS rate FROM active a JOIN size s USING (cohort_month)),
+plus AS (SELECT cohort_month, count(DISTINCT user_id) FILTER (month_offset >= 6) AS later FROM fct_user_retention GROUP BY 1)
+SELECT cohort_month, base AS cohort_initial_users, {{wide}}, round(avg(rate) FILTER (month_offset = 1), 2) AS avg_m1_retention,
+       any_value({pct('later', 'base')}) AS m6_plus_retention_pct
+FROM rates JOIN plus USING (cohort_month) GROUP BY cohort_month, base"""
 
 
 @query("ret_1_matrix", _MATRIX.format(wide=_WIDE))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import clicks, query, shop
-from checks.sqltext import big, dbl, pct, ratio, slices
+from checks.sqltext import big, dbl, erfc, pct, ratio, slices
 from merchlens.operators import experiment
 from merchlens.operators.orders import completed
 
@@ -133,7 +133,27 @@ def sliced(spark, sf_dir):
     return experiment.compute_ab_test(clicks(spark, sf_dir).fct_ab_test).select("dimension", "value", *_PLAIN)
 
 
-@query("ab_8_sliced_p_values")
+def _tails(keys: str, share: float = 0.5) -> str:
+    """CTEs that end in ``v``: the tested rows with intervals, allocation check and p-value."""
+    total = "CAST(n_control + n_treatment AS DOUBLE)"
+    z = "1.959963984540054::DOUBLE"
+    return f"""
+f AS ({_TESTED.format(keys=keys + ' coalesce(CASE WHEN n_c > 0 AND n_t > 0 THEN su END, 0) AS spread,')}),
+h AS (SELECT *, CASE WHEN {total} = 0 THEN 0 ELSE (n_control - {total} * {share}) ** 2 / ({total} * {share})
+                     + (n_treatment - {total} * {1 - share}) ** 2 / ({total} * {1 - share}) END AS srm_chi2_statistic FROM f),
+i AS (SELECT *, sqrt(srm_chi2_statistic / 2) AS srm_x, abs(z_score) / sqrt(2) AS z_x FROM h),
+j AS (SELECT *, {erfc('srm_x')} AS srm_p_value, {erfc('z_x')} AS p_value FROM i),
+v AS (SELECT * EXCLUDE (spread, srm_x, z_x), absolute_difference - {z} * spread AS ci_abs_lower, absolute_difference + {z} * spread AS ci_abs_upper,
+             coalesce((absolute_difference - {z} * spread) / nullif(conversion_rate_control, 0), 0) AS ci_rel_lower,
+             coalesce((absolute_difference + {z} * spread) / nullif(conversion_rate_control, 0), 0) AS ci_rel_upper,
+             srm_p_value >= 0.01 AS srm_passed, p_value < 0.05 AS statistically_significant FROM j)"""
+
+
+@query(
+    "ab_8_sliced_p_values",
+    f"WITH a AS ({slices('fct_ab_test', ['device_type', 'country'], _ARMS)}), {_STATS}, {_tails('dimension, value,')} SELECT * FROM v",
+    "click",
+)
 def sliced_p(spark, sf_dir):
     """p-values and intervals of the sliced test."""
     return experiment.compute_ab_test(clicks(spark, sf_dir).fct_ab_test)
@@ -160,7 +180,16 @@ def orders_by_device(spark, sf_dir):
     return tested.select("dimension", "value", *_PLAIN)
 
 
-@query("ab_6_srm_p_value")
+_ORDER_ONE = f"{_ORDER_ROWS}, a AS ({slices('rows', [], _ORDER_ARMS)}), {_STATS}"
+_SRM = "n_control, n_treatment, srm_chi2_statistic, srm_p_value, srm_passed"
+
+
+@query(
+    "ab_6_srm_p_value",
+    f"""
+SELECT 0.5::DOUBLE AS share, {_SRM} FROM (WITH {_ORDER_ONE}, {_tails('')} SELECT * FROM v)
+UNION ALL SELECT 0.55::DOUBLE AS share, {_SRM} FROM (WITH {_ORDER_ONE}, {_tails('', 0.55)} SELECT * FROM v)""",
+)
 def srm_p(spark, sf_dir):
     """Allocation check with its p-value, for the default and for a 55 % control share."""
     counts = experiment.arm_counts(order_experiment(spark, sf_dir))
@@ -170,7 +199,7 @@ def srm_p(spark, sf_dir):
     return even.select(*columns).unionByName(skewed.select(*columns))
 
 
-@query("ab_7_z_test_p_value")
+@query("ab_7_z_test_p_value", f"WITH {_ORDER_ONE}, {_tails('')} SELECT * FROM v")
 def z_p(spark, sf_dir):
     return experiment.evaluate_counts(experiment.arm_counts(order_experiment(spark, sf_dir)))
 
@@ -192,7 +221,16 @@ def decide(spark, sf_dir):
     return experiment.decision_from_counts(experiment.slice_counts(clicks(spark, sf_dir).fct_ab_test, ["device_type"]))
 
 
-@query("ab_10_decision_p_value")
+@query(
+    "ab_10_decision_p_value",
+    f"""
+WITH a AS ({slices('fct_ab_test', ['device_type', 'country'], _ARMS)}), {_STATS}, {_tails('dimension, value,')}
+SELECT dimension, value, z_score, p_value, srm_passed,
+       CASE WHEN statistically_significant AND srm_passed AND relative_lift > 0
+            THEN 'DEPLOY TREATMENT: Statistically significant positive lift observed without SRM.'
+            ELSE 'DO NOT DEPLOY: Results inconclusive or SRM detected.' END AS recommendation FROM v""",
+    "click",
+)
 def decide_p(spark, sf_dir):
     return experiment.decision(experiment.compute_ab_test(clicks(spark, sf_dir).fct_ab_test)).select(
         "dimension", "value", "z_score", "p_value", "srm_passed", "recommendation"

@@ -324,7 +324,7 @@ def stream_has_data(spark, sf_dir):
 @query(
     "str_6_running_funnel",
     f"""
-SELECT session_id, user_id, CAST(min(event_timestamp) AS DATE) AS bucket_date, count(*) AS total_events_count,
+SELECT session_id, user_id, count(*) AS total_events_count,
        {', '.join(f"count(*) FILTER (event_type = '{s.name}') AS {s.name}_events" for s in CLICK_STAGES)}, {big('max(step_number)')} AS furthest_step_reached,
        {', '.join(f"min(event_timestamp) FILTER (event_type = '{s.name}') AS first_{s.name}_at" for s in CLICK_STAGES)}, {dbl('max(cart_value)')} AS final_cart_value
 FROM stg_events GROUP BY 1, 2""",
@@ -336,7 +336,16 @@ def running_funnel(spark, sf_dir):
     folder = work_dir(spark, "running")
     funnel = changes.running_funnel(stg_events(_raw_stream(spark, sf_dir)), CLICK_STAGES)
     changes.finish(changes.funnel_stream(funnel, f"{folder}/table", f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/table")
+    names = [s.name for s in CLICK_STAGES]
+    return spark.read.parquet(f"{folder}/table").select(
+        "session_id",
+        "user_id",
+        "total_events_count",
+        *(f"{n}_events" for n in names),
+        "furthest_step_reached",
+        *(f"first_{n}_at" for n in names),
+        "final_cart_value",
+    )
 
 
 _GAP = """
@@ -350,24 +359,22 @@ def sessionise_events(spark, sf_dir):
     return sessionise(events)
 
 
-@query(
-    "str_7_session_windows",
-    f"WITH {_GAP} SELECT user_id, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end, count(*) AS events FROM n GROUP BY user_id, s",
-    "click",
-)
+_WINDOWS = f"WITH {_GAP} SELECT user_id, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end, count(*) AS events FROM n GROUP BY user_id, s"
+
+
+@query("str_7_session_windows", _WINDOWS, "click")
 def session_windows(spark, sf_dir):
     return changes.session_windows(clicks(spark, sf_dir).stg_events)
 
 
-@query("str_7_streamed_session_windows")
+@query("str_7_streamed_session_windows", _WINDOWS, "click")
 def streamed_session_windows(spark, sf_dir):
-    """Sessions a stream has closed by the end of its data (open ones stay in its state)."""
+    """The same sessions, kept up to date by a stream."""
     from merchlens.operators.staging import stg_events
 
     folder = work_dir(spark, "windows")
-    rows = changes.session_windows(stg_events(_raw_stream(spark, sf_dir)))
-    changes.finish(changes.append_stream(rows, f"{folder}/table", f"{folder}/checkpoint"))
-    return spark.read.schema("user_id bigint, session_start timestamp_ntz, session_end timestamp_ntz, events bigint").parquet(f"{folder}/table")
+    changes.finish(changes.session_stream(stg_events(_raw_stream(spark, sf_dir)), folder, f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/sessions").drop("user_bucket")
 
 
 @query(

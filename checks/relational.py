@@ -149,7 +149,7 @@ def star_revenue(spark, sf_dir):
 
 _ROLE = """
 SELECT strftime({d}, '%Y-%m') AS year_month, count(*) AS lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE CAST({d} AS DATE) BETWEEN (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AND (SELECT CAST(max(o_orderdate) AS DATE) FROM orders) GROUP BY 1"""
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1"""
 
 
 def _role(spark, sf_dir, column):
@@ -157,7 +157,7 @@ def _role(spark, sf_dir, column):
     placed = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     fact = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
     wanted = [F.count(F.lit(1)).alias("lines"), scalar.sum_exact(scalar.money("l_extendedprice")).alias("revenue")]
-    return star.by_date_role(fact, shop(spark, sf_dir).dim_date, F.col(column), wanted, ["year_month"])
+    return star.by_date_role(fact, F.col(column), wanted, ["year_month"])
 
 
 @query("jn_10_by_order_date", _ROLE.format(d="o_orderdate"))

@@ -30,7 +30,7 @@ def pct(numerator, denominator, digits: int = 2, default: float | None = None) -
 
 def mean_money(total, count, digits: int = 2) -> Column:
     """Exact decimal division rounded half up, as a double; null for a zero count."""
-    ratio = F.try_divide(_col(total).cast("decimal(28,2)"), _col(count).cast("decimal(12,0)"))
+    ratio = F.try_divide(_col(total).cast("decimal(28,2)"), _col(count).cast("decimal(20,0)"))
     return F.round(ratio, digits).cast("double")
 
 

@@ -5,18 +5,24 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from merchlens.functions.scalar import safe_divide
 
 
-@F.pandas_udf(T.DoubleType())
-def erfc(values: pd.Series) -> pd.Series:
-    """Complementary error function. Only ever sees one row per experiment slice."""
-    return values.map(math.erfc, na_action="ignore")
+#: Terms of the power series below ``SPLIT`` and of the continued fraction from there on.
+SPLIT, SERIES, FRACTION = 2.0, 45, 80
+
+
+def erfc(x: Column) -> Column:
+    """Complementary error function of a number that is not negative, to about 14 digits; null for null."""
+    terms = lambda n: F.sequence(F.lit(n), F.lit(1), F.lit(-1))
+    bell = F.exp(-x * x)
+    series = F.aggregate(terms(SERIES), F.lit(1.0), lambda rest, n: 1.0 + rest * (2.0 * x * x / (2.0 * n + 1.0)))
+    fraction = F.aggregate(terms(FRACTION), F.lit(0.0), lambda rest, n: (n / 2.0) / (x + rest))
+    near = 1.0 - 2.0 / math.sqrt(math.pi) * x * bell * series
+    return F.when(x < SPLIT, near).otherwise(bell / math.sqrt(math.pi) / (x + fraction))
 
 
 def two_sided_p(z: Column) -> Column:

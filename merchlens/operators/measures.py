@@ -361,8 +361,8 @@ def measures(
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
     if result is None:
         if not shared:
-            first = next(iter(tables.values()))
-            return first.limit(1).agg(F.count(F.lit(1)).alias("__n")).select(*outputs)
+            spark = next(iter(tables.values())).sparkSession
+            return spark.range(1).select(F.col("id").alias("__n")).select(*outputs)
         result, shared = shared[0], []
     columns = [c for c in result.columns if c not in group_by]
     if len(by_fact) > 1:

@@ -63,9 +63,10 @@ def retention_rates(fact: DataFrame) -> DataFrame:
 
 
 def retention_matrix(fact: DataFrame, months: int = MAX_MONTHS, fill: float | None = None) -> DataFrame:
-    """Wide matrix M0..M``months`` plus every later month together (``m<months>_plus``).
+    """Wide matrix M0..M``months`` and the users of month ``months`` or any later one (``m<months>_plus``).
 
-    ``fill`` replaces cells without activity (null by default).
+    ``months`` bounds the columns, not the data: ``retention_rates`` has every month as a row. ``fill`` replaces
+    cells without activity (null by default).
     """
     rates = retention_rates(fact)
     rate = F.col("retention_rate_pct")
@@ -73,6 +74,11 @@ def retention_matrix(fact: DataFrame, months: int = MAX_MONTHS, fill: float | No
         *[F.max(F.when(F.col("month_offset") == k, rate)).alias(f"m{k}_retention_pct") for k in range(months + 1)],
         F.round(F.avg(F.when(F.col("month_offset") == 1, rate)), 2).alias("avg_m1_retention"),
     )
+    later = late_retention(fact, months).select("cohort_month", F.col(f"m{months}_plus_users").alias("__later"))
+    wide = wide.join(later, "cohort_month").withColumn(
+        f"m{months}_plus_retention_pct", pct("__later", "cohort_initial_users")
+    )
+    wide = wide.drop("__later")
     if fill is None:
         return wide
     return wide.fillna(fill, [f"m{k}_retention_pct" for k in range(months + 1)])
@@ -215,6 +221,7 @@ def filled_matrix(rates: DataFrame) -> DataFrame:
 
     Months and cohorts are few (one per calendar month); both lists come from the rates.
     """
+    rates = rates.where(F.col("month_offset").isNotNull())  # orders without a date belong to no month
     last = rates.select("month_offset").distinct().agg(F.sort_array(F.collect_set("month_offset")).alias("months"))
     cohorts = rates.groupBy("cohort_month").agg(
         F.map_from_entries(F.collect_list(F.struct("month_offset", "retention_rate"))).alias("rates")

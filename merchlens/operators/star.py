@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.functions.scalar import pct, sum_exact
+from merchlens.operators.dimensions import calendar_columns
 
 
 def star_revenue(
@@ -38,14 +39,17 @@ def star_revenue(
     return totals.withColumn("gross_margin_pct", pct("gross_profit", "gross_revenue"))
 
 
-def by_date_role(fact: DataFrame, calendar: DataFrame, role: Column, measures: Sequence[Column], by: Sequence[str]) -> DataFrame:
+def by_date_role(fact: DataFrame, role: Column, measures: Sequence[Column], by: Sequence[str]) -> DataFrame:
     """Aggregate a fact along the calendar by any of its dates: order date, ship date, ...
 
-    The fact shrinks to one row per day first; only days meet the calendar.
+    The fact shrinks to one row per day first; the calendar is that of the role's own days, so none is lost. Rows
+    without the date form one group of nulls.
     """
-    daily = fact.groupBy(role.cast("date").alias("date_day")).agg(*measures)
-    names = [c for c in daily.columns if c != "date_day"]
-    return daily.join(calendar.select("date_day", *by), "date_day").groupBy(*by).agg(*[F.sum(c).alias(c) for c in names])
+    daily = fact.groupBy(role.cast("date").alias("__day")).agg(*measures)
+    names = [c for c in daily.columns if c != "__day"]
+    calendar = calendar_columns(daily.select(F.col("__day").alias("date_day"))).select("date_day", *by)
+    joined = daily.join(calendar, F.col("__day").eqNullSafe(F.col("date_day")))
+    return joined.groupBy(*by).agg(*[F.sum(c).alias(c) for c in names])
 
 
 def shipping_pairs(orders: DataFrame, days: int = 2) -> DataFrame:

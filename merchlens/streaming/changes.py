@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +16,7 @@ from merchlens.sources.incremental import merge_into
 BACKFILL, INSERT = "BACKFILL", "INSERT"
 CART_TYPE = "decimal(10,2)"
 KEY, PARTITION = ["event_id"], "event_date"
+BUCKETS = 16
 
 
 def change_stream(
@@ -65,51 +66,48 @@ def upsert_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> int:
-    """Wait for an available-now query; the number of rows it read (0: stream had no data)."""
-    if not query.awaitTermination(seconds):
-        query.stop()
-        raise TimeoutError(f"stream did not finish in {seconds} s")
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def finish(query: StreamingQuery) -> int:
+    """Wait for an available-now query, however long it takes; the number of rows it read (0: no data).
 
+    Spark keeps the last hundred progress reports, so they are taken down while the query runs.
+    """
+    rows: dict[int, int] = {}
+    while True:
+        ended = query.awaitTermination(1)
+        rows |= {progress["batchId"]: progress["numInputRows"] for progress in query.recentProgress}
+        if ended:
+            return sum(rows.values())
 
-def _event_time(stream: DataFrame, late: str) -> DataFrame:
-    """Watermarks need a timestamp with time zone; the session runs in UTC."""
-    return stream.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")).withWatermark(
-        "event_timestamp", late
-    )
 
+def running_funnel(stream: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
+    """Session funnel as a stateful aggregate: counts, firsts and maxima only, so each batch adds to the state.
 
-def running_funnel(
-    stream: DataFrame, stages: Sequence[Stage] = STAGES, late: str = "1 day", bucket: str | None = "1 day"
-) -> DataFrame:
-    """Session funnel as a stateful aggregate: counts, firsts and maxima only, so each batch
-    adds to the state.
-
-    With ``bucket`` the state of a session is dropped once the watermark has passed its
-    bucket; None keeps it forever, for sessions that may cross a bucket's edge.
+    No watermark and no time bucket: rows count whenever they come, and a session may last over midnight. The state
+    keeps one small row per session for good; with many sessions use the RocksDB state store.
     """
-    marked = _event_time(stream, late)
-    if bucket is None:
-        return session_funnel(marked, stages)
-    in_stage = {s: F.col("event_type") == s.name for s in stages}
-    return marked.groupBy("session_id", "user_id", F.window("event_timestamp", bucket).alias("bucket")).agg(
-        F.count("event_id").alias("total_events_count"),
-        *[F.count_if(in_stage[s]).alias(f"{s.name}_events") for s in stages],
-        F.max("step_number").alias("furthest_step_reached"),
-        *[F.min(F.when(in_stage[s], F.col("event_timestamp"))).alias(s.first_at) for s in stages],
-        F.max("cart_value").alias("final_cart_value"),
-    )
+    # State needs a timestamp with time zone; the session runs in UTC.
+    return session_funnel(stream.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")), stages)
 
 
-def funnel_stream(funnel: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the table at ``path`` equal to the running funnel: changed sessions are merged."""
+def funnel_stream(funnel: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the table at ``path`` equal to the running funnel: changed sessions are merged.
+
+    A session's bucket follows from its key, so a batch reads and rewrites the buckets of its sessions only.
+    """
 
     def upsert(batch: DataFrame, _: int) -> None:
-        rows = batch.withColumn("bucket_date", F.col("bucket.start").cast("date")).drop("bucket")
-        firsts = [c for c, kind in rows.dtypes if kind == "timestamp"]
-        rows = rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in firsts})
-        merge_into(batch.sparkSession, path, rows, ["session_id", "user_id", "bucket_date"], "bucket_date", ["total_events_count"])
+        firsts = [c for c, kind in batch.dtypes if kind == "timestamp"]
+        rows = batch.withColumns({c: F.col(c).cast("timestamp_ntz") for c in firsts})
+        rows = rows.withColumn("session_bucket", _bucket("session_id", buckets))
+        merge_into(
+            batch.sparkSession,
+            path,
+            rows,
+            ["session_id", "user_id"],
+            "session_bucket",
+            ["total_events_count"],
+            fixed_partition=True,
+        )
 
     return (
         funnel.writeStream.outputMode("update")
@@ -120,10 +118,13 @@ def funnel_stream(funnel: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def session_windows(events: DataFrame, gap: str = "30 minutes", late: str = "1 day") -> DataFrame:
-    """Sessions of a stream (or a batch) by silence, one row per user and session."""
-    source = _event_time(events, late) if events.isStreaming else events
-    spans = source.groupBy("user_id", F.session_window("event_timestamp", gap).alias("span")).agg(
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def session_windows(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Sessions by silence, one row per user and session."""
+    spans = events.groupBy("user_id", F.session_window("event_timestamp", gap).alias("span")).agg(
         F.count(F.lit(1)).alias("events"), F.max("event_timestamp").alias("session_end")
     )
     return spans.select(
@@ -134,12 +135,30 @@ def session_windows(events: DataFrame, gap: str = "30 minutes", late: str = "1 d
     )
 
 
-def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write finished rows of a stateful stream as parquet."""
+def session_stream(
+    stream: DataFrame, folder: str, checkpoint: str, gap: str = "30 minutes", buckets: int = BUCKETS
+) -> StreamingQuery:
+    """Keep ``folder``/sessions equal to the session windows of all events so far, open sessions included.
+
+    Events are upserted by id into ``folder``/events, by bucket of their user; the sessions of the touched buckets are
+    then made anew, so late rows may lengthen or join sessions. A replayed batch leaves the same tables.
+    """
+
+    def upsert(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select("event_id", "user_id", "event_timestamp").withColumn("user_bucket", _bucket("user_id", buckets))
+        merge_into(
+            spark, f"{folder}/events", rows, ["event_id"], "user_bucket", ["event_timestamp", "user_id"], fixed_partition=True
+        )
+        touched = [row[0] for row in rows.select("user_bucket").distinct().collect()]  # at most ``buckets``
+        stored = spark.read.schema(rows.schema).parquet(f"{folder}/events").where(F.col("user_bucket").isin(touched))
+        made = session_windows(stored, gap).withColumn("user_bucket", _bucket("user_id", buckets))
+        made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("user_bucket").parquet(
+            f"{folder}/sessions"
+        )
+
     return (
-        rows.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
+        stream.writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -189,7 +189,7 @@ def test_change_stream_lands_then_is_empty_then_updates(spark, folder):
     batch.write.mode("append").parquet(source)
 
     def run():
-        return changes.finish(changes.upsert_stream(changes.change_stream(spark, source, EVENTS), table, checkpoint), 120)
+        return changes.finish(changes.upsert_stream(changes.change_stream(spark, source, EVENTS), table, checkpoint))
 
     assert run() == 5 and run() == 0
     assert spark.read.parquet(table).count() == 5
@@ -207,7 +207,7 @@ def test_backfill_then_stream_overwrites_action(spark, folder):
     changes.backfill(batch, table)
     assert spark.read.parquet(table).first().cdc_action == "BACKFILL"
     batch.write.parquet(f"{folder}/in")
-    changes.finish(changes.upsert_stream(changes.change_stream(spark, f"{folder}/in", EVENTS), table, f"{folder}/cp"), 120)
+    changes.finish(changes.upsert_stream(changes.change_stream(spark, f"{folder}/in", EVENTS), table, f"{folder}/cp"))
     assert rows(spark.read.parquet(table).select("event_id", "cdc_action")) == [("E1", "INSERT")]
 
 
@@ -217,18 +217,40 @@ def test_only_insert_actions_are_taken(spark):
     assert changes.inserts(df.select("id")).count() == 2
 
 
-def test_running_funnel_over_two_batches_equals_one_pass(spark, folder):
+def three_arrivals(spark, folder):
+    """Three files, one a batch: a session over midnight whose oldest event comes last, months late."""
+    source = f"{folder}/in"
+    batches = [
+        [("E1", datetime(2024, 1, 1, 23, 50), "landing_page", 1), ("E2", datetime(2024, 1, 2, 0, 10), "product_view", 2)],
+        [("E3", datetime(2024, 3, 1, 3), "purchase", 6)],
+        [("E0", datetime(2024, 1, 1, 23, 25), "landing_page", 1), ("E4", datetime(2024, 1, 2, 0, 35), "checkout_started", 4)],
+    ]
+    for batch in batches:
+        arrivals(spark, *batch).coalesce(1).write.mode("append").parquet(source)
+    return source
+
+
+def test_running_funnel_over_batches_equals_one_pass(spark, folder):
+    from merchlens.operators.sessions import session_funnel
     from merchlens.operators.staging import stg_events
 
-    source = f"{folder}/in"
-    one = arrivals(spark, ("E1", datetime(2024, 1, 1, 1), "landing_page", 1), ("E2", datetime(2024, 1, 1, 2), "product_view", 2))
-    two = arrivals(spark, ("E3", datetime(2024, 1, 1, 3), "purchase", 6))
-    for batch in (one, two):
-        batch.coalesce(1).write.mode("append").parquet(source)
+    source = three_arrivals(spark, folder)
+    stream = stg_events(changes.change_stream(spark, source, EVENTS, files_per_batch=1))
+    assert changes.finish(changes.funnel_stream(changes.running_funnel(stream), f"{folder}/t", f"{folder}/cp")) == 5
+    got = spark.read.parquet(f"{folder}/t").drop("session_bucket")
+    once = session_funnel(stg_events(spark.read.schema(EVENTS).parquet(source)))
+    assert got.count() == 1 and rows(got.select(*once.columns)) == rows(once)
+
+
+def test_streamed_sessions_equal_one_pass(spark, folder):
+    from merchlens.operators.staging import stg_events
+
+    source = three_arrivals(spark, folder)
     stream = stg_events(changes.change_stream(spark, source, EVENTS, files_per_batch=1))
-    changes.finish(changes.funnel_stream(changes.running_funnel(stream), f"{folder}/t", f"{folder}/cp"), 120)
-    row = spark.read.parquet(f"{folder}/t").collect()
-    assert len(row) == 1 and row[0].total_events_count == 3 and row[0].furthest_step_reached == 6
+    changes.finish(changes.session_stream(stream, f"{folder}/t", f"{folder}/cp"))
+    got = spark.read.parquet(f"{folder}/t/sessions").drop("user_bucket")
+    once = changes.session_windows(stg_events(spark.read.schema(EVENTS).parquet(source)))
+    assert rows(got) == rows(once) and sorted(r.events for r in got.collect()) == [1, 4]
 
 
 def test_gate(spark, shop_tables):
