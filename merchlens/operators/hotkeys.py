@@ -1,8 +1,8 @@
 """Windows and joins that stay parallel when one key holds a large part of the rows.
 
-A key is *hot* when it holds more than ``HOT_ROWS`` rows; of those only the ``MAX_HOT_KEYS``
-largest are treated as hot, so the list of them is always small enough to broadcast. Being hot
-changes how rows are placed, never the result: keys off the list take the plain path.
+A key is *hot* when it holds more than ``HOT_ROWS`` rows. Being hot changes how rows are placed, never the result. The
+list of hot keys has no limit and needs none: n rows hold at most n / ``HOT_ROWS`` hot keys, a million in 10^12 rows,
+which is what makes it fit for a broadcast.
 """
 
 from __future__ import annotations
@@ -14,31 +14,21 @@ from pyspark.sql import functions as F
 
 # Fixed values.
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 65_536
-SALTS = 64
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold too many rows for one task; at most ``MAX_HOT_KEYS`` of them.
+    """Keys that hold too many rows for one task, and ``__rows``, how many.
 
-    Reads the key columns only and counts before the shuffle. Ties are broken by key, so two
-    evaluations agree.
+    Reads the key columns only and counts before the shuffle.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows)
 
 
-def mark_hot(df: DataFrame, counted: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """``df`` plus ``__is_hot``: whether its key is hot in ``counted``. Null keys count too."""
-    hot = hot_keys(counted, [key], hot_rows).select(F.col(key).alias("__hot"), F.lit(True).alias("__found"))
-    marked = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__hot")), "left")
-    return marked.withColumn("__is_hot", F.col("__found").isNotNull()).drop("__hot", "__found")
+def mark_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """``df`` plus ``__is_hot``, whether its key is in ``hot``, and ``__rows``. Null keys count too."""
+    listed = hot.select(F.col(key).alias("__hot"), "__rows")
+    marked = df.join(F.broadcast(listed), F.col(key).eqNullSafe(F.col("__hot")), "left")
+    return marked.withColumn("__is_hot", F.col("__rows").isNotNull()).drop("__hot")
 
 
 def sequence_rows(
@@ -64,7 +54,7 @@ def sequence_rows(
     previous, running = previous or {}, running or {}
     # A struct never is null, and a null field in it equals another: null keys stay one group,
     # and the join below reuses the shuffle and the sort of the window.
-    tagged = mark_hot(df, df, key, hot_rows).withColumn(
+    tagged = mark_hot(df, hot_keys(df, [key], hot_rows), key).withColumn(
         "__slot", F.struct(F.col(key).alias("key"), F.when(F.col("__is_hot"), slot).alias("part"))
     )
 
@@ -111,27 +101,28 @@ def fan_out_join(
     right: DataFrame,
     key: str,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join where the *right* side may repeat a key any number of times.
 
-    Right rows of hot keys are spread over ``salts`` partitions and the matching left rows
-    are copied to each. A hot key has a match by definition, so copies that found none are
-    surplus and are removed; every other row keeps plain left-join behaviour.
+    Right rows of a hot key are spread over as many salts as it has ``hot_rows`` rows (or over ``salts``) and the
+    matching left rows are copied to each. A hot key has a match by definition, so copies that found none are surplus
+    and are removed; every other row keeps plain left-join behaviour.
     """
     right = right.where(F.col(key).isNotNull())  # a null key matches nothing
-    salt = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    hot = hot_keys(right, [key], hot_rows)
+    parts = F.lit(salts) if salts else F.ceil(F.col("__rows") / max(hot_rows, 1)).cast("int")
     spread = (
-        mark_hot(right, right, key, hot_rows)
-        .withColumn("__salt", F.when(F.col("__is_hot"), salt).otherwise(0))
+        mark_hot(right, hot, key)
+        .withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(F.xxhash64(*right.columns), parts).cast("int")).otherwise(0))
         .withColumn("__match", F.lit(True))
         .withColumnRenamed(key, "__right_key")
-        .drop("__is_hot")
+        .drop("__is_hot", "__rows")
     )
-    copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = mark_hot(left, right, key, hot_rows).withColumn("__copy", F.explode(copies))
+    copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
+    copied = mark_hot(left, hot, key).withColumn("__copy", F.explode(copies))
     on = (F.col(key) == F.col("__right_key")) & (F.col("__copy") == F.col("__salt"))
     joined = copied.join(spread, on, "left")
     return joined.where(~F.col("__is_hot") | F.col("__match")).drop(
-        "__is_hot", "__copy", "__salt", "__match", "__right_key"
+        "__is_hot", "__rows", "__copy", "__salt", "__match", "__right_key"
     )
