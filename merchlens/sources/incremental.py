@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from merchlens.functions.scalar import all_of
 
@@ -87,12 +88,13 @@ def merge_into(
 
     Touched are the partitions of the delta and those that hold an older row of one of its
     keys. Both lists are partition values (days), which is what the driver gets to see. The
-    same batch twice leaves the same table.
+    same batch twice leaves the same table. Of a key's rows in the delta the last in ``order`` counts; without an
+    order, the largest by its other columns.
 
     ``fixed_partition`` states that a key never changes its partition (an order keeps its
     date); then only the partitions of the delta are read, not the keys of the whole table.
     """
-    fresh = latest_rows(delta, key, order) if order else delta.dropDuplicates(list(key))
+    fresh = latest_rows(delta, key, order or [c for c in delta.columns if c not in key])
     # Read several times below; a lost executor's part is computed again.
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -113,21 +115,32 @@ def _merge_fresh(
     if not has_partitions(spark, path):
         _write(fresh, path, partition, cluster)
         return
-    target = spark.read.option("mergeSchema", True).parquet(path)
+    target = _target(spark, path, fresh, partition)
     arriving = _values(fresh, partition)
     if not arriving:
         return
-    leaving = set()
+    leaving: dict = {}
     if not fixed_partition:
-        leaving = _values(target.join(fresh.select(*key), list(key), "left_semi"), partition) - arriving
-    touched = target.where(_one_of(partition, arriving | leaving))
+        # The folder comes from the files themselves: null and escaped values have names of their own.
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("__folder")
+        older = target.select(*key, F.col(partition).alias("__from"), folder).join(fresh.select(*key), list(key), "left_semi")
+        found = older.select("__from", "__folder").distinct().collect()  # partitions, never keys
+        leaving = {row[0]: row[1] for row in found if row[0] not in arriving}
+    touched = target.where(_one_of(partition, arriving | set(leaving)))
     merged = merge(touched, fresh, key)
     # A dynamic overwrite replaces partitions it has rows for; those left without must go.
-    emptied = leaving - _values(merged.where(_one_of(partition, leaving)), partition) if leaving else set()
+    emptied = set(leaving) - _values(merged.where(_one_of(partition, set(leaving))), partition) if leaving else set()
     _write(merged, path, partition, cluster)
     for value in emptied:
-        system, folder = _file_system(spark, f"{path}/{partition}={value}")
-        system.delete(folder, True)
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(leaving[value]))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _target(spark: SparkSession, path: str, fresh: DataFrame, partition: str) -> DataFrame:
+    """The stored table; its partition column has the type of the delta, not one guessed from folder names."""
+    schema = spark.read.option("mergeSchema", True).parquet(path).schema
+    kinds = [fresh.schema[partition] if field.name == partition else field for field in schema]
+    return spark.read.schema(StructType(kinds)).parquet(path)
 
 
 def _values(df: DataFrame, column: str) -> set:

@@ -178,6 +178,22 @@ def test_uncommitted_version_is_not_read(spark, folder):
 EVENTS = "event_id string, session_id string, user_id string, event_timestamp timestamp, event_name string, event_type string, step_number int, page_url string, product_id string, cart_value double"
 
 
+@pytest.mark.parametrize("old, new", [(None, "x"), ("a b:c/d", "x"), ("x", None), ("007", "7"), ("7", "007"), ("x", "a b:c/d")])
+def test_merge_moves_a_row_between_partitions(spark, folder, old, new):
+    kind = "id int, part string, v int"
+    merge_into(spark, folder, spark.createDataFrame([(1, old, 1), (2, "stay", 1)], kind), ["id"], "part")
+    for _ in range(2):  # the second time it is the same batch again
+        merge_into(spark, folder, spark.createDataFrame([(1, new, 2)], kind), ["id"], "part")
+        got = spark.read.schema("id int, v int, part string").parquet(folder)
+        assert rows(got.select("id", "part", "v")) == sorted([(1, new, 2), (2, "stay", 1)], key=repr)
+
+
+def test_merge_without_order_keeps_the_largest_row(spark, folder):
+    delta = spark.createDataFrame([(1, "a", 1), (1, "a", 3), (1, "a", 2)], "id int, part string, v int")
+    merge_into(spark, folder, delta, ["id"], "part")
+    assert rows(spark.read.parquet(folder).select("v")) == [(3,)]
+
+
 def arrivals(spark, *data):
     made = [(e, "S1", "U1", at, k.upper(), f" {k} ", step, " /p ", " ", None) for e, at, k, step in data]
     return spark.createDataFrame(made, EVENTS)
