@@ -261,7 +261,17 @@ def revenue_by_variant(spark, sf_dir):
     return experiment.revenue_by_variant(w.stg_sessions, w.stg_events, w.stg_orders, entry="click")
 
 
-@query("ab_13_revenue_impact")
+@query(
+    "ab_13_revenue_impact",
+    f"""
+WITH a AS ({_ONE}), {_STATS}, {_tails('')},
+o AS (SELECT avg(CAST(total_amount AS DOUBLE)) AS aov FROM stg_orders WHERE status = 'completed'),
+s AS (SELECT 'low' AS scenario, ci_rel_lower AS lift FROM v UNION ALL SELECT 'expected', relative_lift FROM v UNION ALL SELECT 'high', ci_rel_upper FROM v),
+x AS (SELECT scenario, lift, 100000 * conversion_rate_control AS base, aov FROM s, v, o)
+SELECT scenario, round(lift, 6) AS relative_lift, round(base, 4) AS baseline_orders, round(base * lift, 4) AS incremental_orders,
+       round(base * lift * aov, 2) AS incremental_revenue, round(base * lift * aov * 0.52::DOUBLE, 2) AS incremental_profit FROM x""",
+    "click",
+)
 def impact(spark, sf_dir):
     """Low, expected and high scenario from the observed arms, order value and margin."""
     w = clicks(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import clicks, query, shop
-from checks.sqltext import big, dbl
+from checks.sqltext import big, dbl, erfc
 from merchlens.operators import quality
 from merchlens.plans.publish import materialise
 from merchlens.session import work_dir
@@ -286,7 +286,20 @@ def allocation(spark, sf_dir):
     return quality.allocation_check(w.stg_events, w.stg_sessions, w.stg_orders, "click").drop("srm_p_value", "passed")
 
 
-@query("dq_14_allocation_p_value")
+@query(
+    "dq_14_allocation_p_value",
+    f"""
+WITH a AS (SELECT count(*) FILTER (ab_variant = 'control') AS n1, count(*) FILTER (ab_variant = 'treatment') AS n2 FROM stg_sessions
+    WHERE session_id IN (SELECT session_id FROM stg_events WHERE event_type = 'click')),
+o AS (SELECT count(*) FILTER (ab_variant = 'control') AS x1, count(*) FILTER (ab_variant = 'treatment') AS x2 FROM stg_orders),
+h AS (SELECT *, CAST(n1 + n2 AS DOUBLE) / 2 AS half FROM a, o),
+c AS (SELECT n1 AS n_control, n2 AS n_treatment, x1 AS conversions_control, x2 AS conversions_treatment,
+       round((n1 - half) * (n1 - half) / half + (n2 - half) * (n2 - half) / half, 4) AS srm_chi2,
+       round((CAST(x2 AS DOUBLE) / n2 - CAST(x1 AS DOUBLE) / n1) / (CAST(x1 AS DOUBLE) / n1) * 100, 2) AS empirical_relative_lift_pct FROM h),
+x AS (SELECT *, sqrt(srm_chi2 / 2) AS srm_x FROM c), p AS (SELECT * EXCLUDE (srm_x), round({erfc('srm_x')}, 6) AS srm_p_value FROM x)
+SELECT *, srm_p_value >= 0.01 AND n_control > 0 AND n_treatment > 0 AS passed FROM p""",
+    "click",
+)
 def allocation_p(spark, sf_dir):
     w = clicks(spark, sf_dir)
     return quality.allocation_check(w.stg_events, w.stg_sessions, w.stg_orders, "click")
