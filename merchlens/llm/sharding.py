@@ -1,7 +1,7 @@
 """Sharding by best-fit decreasing: indivisible groups enter the shard with the tightest remaining capacity.
 
 Groups (rows with one text) are first packed into blocks, each hash part of the groups on its own; a block is a
-64th of a shard or one larger group. The blocks, few and bounded in number, are then packed into shards with the
+64th to a 512th of a shard, by its part, or one larger group: small blocks fill what large ones leave. The blocks, few and bounded in number, are then packed into shards with the
 smallest capacity for which the shards suffice. A group that is larger than that capacity has a shard of its own.
 """
 
@@ -17,7 +17,7 @@ from merchlens.llm.common import id_or_last, written
 SHARDS = 40
 ROW_BYTES = 16
 BLOCKS_PER_SHARD = 64
-GROUPS_PER_PART = 100_000
+GROUPS_PER_PART, LEAST_PARTS = 100_000, 8
 CELL_ROWS = 100_000
 
 
@@ -149,12 +149,13 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     sums = rows.groupBy("h1", "h2").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     sums = written(sums, "text-groups")
     total, groups = sums.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
-    parts = max(1, -(-groups // GROUPS_PER_PART))
+    parts = max(LEAST_PARTS, -(-groups // GROUPS_PER_PART))
     capacity = max(1, int(total) // (shards * BLOCKS_PER_SHARD))
 
     def to_blocks(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["h1", "h2"])
-        bins = best_fit_decreasing(frame["bytes"].to_numpy(), capacity)
+        part = int(frame["part"].iloc[0])
+        bins = best_fit_decreasing(frame["bytes"].to_numpy(), max(1, capacity >> part % 4))
         frame["block"] = bins * parts + frame["part"].to_numpy()
         return frame[["h1", "h2", "bytes", "n", "block"]]
 
