@@ -133,10 +133,9 @@ def sliced(spark, sf_dir):
     return experiment.compute_ab_test(clicks(spark, sf_dir).fct_ab_test).select("dimension", "value", *_PLAIN)
 
 
-def _tails(keys: str, share: float = 0.5) -> str:
+def _tails(keys: str, share: float = 0.5, alpha: float = 0.05, srm_alpha: float = 0.01, z: str = "1.959963984540054::DOUBLE") -> str:
     """CTEs that end in ``v``: the tested rows with intervals, allocation check and p-value."""
     total = "CAST(n_control + n_treatment AS DOUBLE)"
-    z = "1.959963984540054::DOUBLE"
     return f"""
 f AS ({_TESTED.format(keys=keys + ' coalesce(CASE WHEN n_c > 0 AND n_t > 0 THEN su END, 0) AS spread,')}),
 h AS (SELECT *, CASE WHEN {total} = 0 THEN 0 ELSE (n_control - {total} * {share}) ** 2 / ({total} * {share})
@@ -146,7 +145,7 @@ j AS (SELECT *, {erfc('srm_x')} AS srm_p_value, {erfc('z_x')} AS p_value FROM i)
 v AS (SELECT * EXCLUDE (spread, srm_x, z_x), absolute_difference - {z} * spread AS ci_abs_lower, absolute_difference + {z} * spread AS ci_abs_upper,
              coalesce((absolute_difference - {z} * spread) / nullif(conversion_rate_control, 0), 0) AS ci_rel_lower,
              coalesce((absolute_difference + {z} * spread) / nullif(conversion_rate_control, 0), 0) AS ci_rel_upper,
-             srm_p_value >= 0.01 AS srm_passed, p_value < 0.05 AS statistically_significant FROM j)"""
+             srm_p_value >= {srm_alpha} AS srm_passed, p_value < {alpha} AS statistically_significant FROM j)"""
 
 
 @query(

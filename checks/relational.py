@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from checks.experiments import _ARMS, _STATS  # the SQL of the arms and of the test
+from checks.experiments import _ARMS, _STATS, _tails  # the SQL of the arms and of the test
 from checks.registry import clicks, query, shop
 from checks.sqltext import big, dbl, pct, slices
 from merchlens.functions import scalar
@@ -486,14 +486,19 @@ def experiment_part(spark, sf_dir):
     )
 
 
+_CHOSEN = "n_control, n_treatment, ci_abs_lower, ci_abs_upper, srm_p_value, srm_passed, p_value, statistically_significant"
+
+
 @query(
     "cfg_1_parameters",
-    f"WITH a AS ({slices('fct_ab_test', [], _ARMS)}), {_STATS} SELECT n_c AS n_control, n_t AS n_treatment, coalesce(rel, 0) AS relative_lift FROM t",
+    f"""
+WITH a AS ({slices('fct_ab_test', [], _ARMS)}), {_STATS}, {_tails('', 0.55, 0.1, 0.05, '1.6448536269514722::DOUBLE')}
+SELECT {_CHOSEN} FROM v""",
     "click",
 )
 def parameters(spark, sf_dir):
-    """Parameters reach the analysis: alpha 0.10 and a 55 % control share."""
+    """Parameters reach the analysis: alpha 0.10, allocation alpha 0.05 and a 55 % control share."""
     from merchlens.operators.experiment import compute_ab_test
 
     tested = compute_ab_test(clicks(spark, sf_dir).fct_ab_test, [], alpha=0.10, srm_alpha=0.05, share=0.55)
-    return tested.select("n_control", "n_treatment", "relative_lift")
+    return tested.select(*_CHOSEN.split(", "))

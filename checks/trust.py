@@ -74,6 +74,24 @@ def order_marts_suite(spark, sf_dir):
     return _suite(shop, "order-marts", SHOP_MODELS, spark, sf_dir)
 
 
+@query(
+    "cfg_1_ordered_build",
+    " UNION ALL ".join(f"SELECT '{m}' AS \"table\", count(*) AS \"rows\" FROM {m}" for m in CLICK_MODELS if m[:4] != "int_"),
+    "click",
+)
+def ordered_build(spark, sf_dir):
+    """Models, assertions, gate and exports in one call: the rows of every exported mart, read from its CSV form."""
+    from merchlens.plans.build import ordered_build as build
+
+    folder, counts = work_dir(spark, "build"), None
+    build(clicks(spark, sf_dir), folder, CLICK_MODELS, threshold=10**9)
+    for mart in (m for m in CLICK_MODELS if m[:4] != "int_"):
+        rows = spark.read.option("header", True).option("multiLine", True).csv(f"{folder}/export/{mart}.csv")
+        one = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(mart).alias("table"), "rows")
+        counts = one if counts is None else counts.union(one)
+    return counts
+
+
 @query("dq_5_click_marts_suite", suite_sql(CLICK_MODELS), "click")
 def click_marts_suite(spark, sf_dir):
     return _suite(clicks, "click-marts", CLICK_MODELS, spark, sf_dir)

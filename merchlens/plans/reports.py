@@ -82,11 +82,17 @@ def reports(
     orders: DataFrame,
     fct_ab_test: DataFrame,
     stages: Sequence[Stage] = STAGES,
+    alpha: float = ALPHA,
+    srm_alpha: float = SRM_ALPHA,
+    share: float = CONTROL_SHARE,
 ) -> dict[str, DataFrame]:
     """The four report frames by dataset name, ready for ``Catalog.save``."""
+    test = {"alpha": alpha, "srm_alpha": srm_alpha, "share": share}
     return {
         "funnel_analysis_report": funnel_report(fct_funnel, stages),
         "cohort_retention_report": compute_cohort_retention(fct_user_retention),
-        "ab_test_results_report": compute_ab_test(fct_ab_test),
-        "statistical_summary_report": statistical_summary(fct_funnel, fct_user_retention, orders, fct_ab_test, stages),
+        "ab_test_results_report": compute_ab_test(fct_ab_test, **test),
+        "statistical_summary_report": statistical_summary(
+            fct_funnel, fct_user_retention, orders, fct_ab_test, stages, **test
+        ),
     }
