@@ -28,16 +28,20 @@ def read_orders(
     )
 
 
-def _money(name: str) -> Column:
-    """Two places; null where the text is no number."""
-    return F.round(F.col(name).cast("string").try_cast("decimal(18,4)"), 2).cast("double")
+def _money(name: str, missing: float | None) -> Column:
+    """Two places; ``missing`` where there is no number."""
+    number = F.round(F.col(name).cast("string").try_cast("decimal(18,4)"), 2).cast("double")
+    return number if missing is None else F.coalesce(number, F.lit(float(missing)))
 
 
-def normalise_orders(orders: DataFrame, prefix_orders: bool = False, keep_status_case: bool = False) -> DataFrame:
+def normalise_orders(
+    orders: DataFrame, prefix_orders: bool = False, keep_status_case: bool = False, missing_money: float | None = None
+) -> DataFrame:
     """Operational orders with the columns of raw orders plus ``data_source``.
 
     Columns the input lacks become null. There is no web session and no experiment arm. The
-    API form of the same rows prefixes order ids and keeps the status as it is.
+    API form of the same rows prefixes order ids and keeps the status as it is. Amounts that are no number stay null,
+    or become ``missing_money`` (0.0 for an extract that has none missing).
     """
     have = set(orders.columns)
 
@@ -54,7 +58,7 @@ def normalise_orders(orders: DataFrame, prefix_orders: bool = False, keep_status
         F.concat(F.lit(USER_PREFIX), column("user_id").cast("string")).alias("user_id"),
         F.date_format(created, "yyyy-MM-dd").alias("order_date"),
         created.alias("order_timestamp"),
-        *[_money(c).alias(c) for c in MONEY_COLUMNS],
+        *[_money(c, missing_money).alias(c) for c in MONEY_COLUMNS],
         column("payment_method").cast("string").alias("payment_method"),
         (status if keep_status_case else F.lower(status)).alias("status"),
         F.lit(None).cast("string").alias("ab_variant"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,12 +88,17 @@ def _differs(kind: T.DataType, a: Column, b: Column) -> Column:
 def parity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Compare two forms of a table by key: rows on one side only, and cells that differ.
 
-    Numbers may differ by 0.01 and times by one second. One full join, one output row.
+    Numbers may differ by 0.01 and times by one second. Rows of a repeated key are paired in the order of their other
+    columns, so none is counted twice. One full join, one output row.
     """
     columns = [c for c in left.columns if c != key]
-    a = left.select(F.col(key).alias("__key"), F.lit(1).alias("__a"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    b = right.select(F.col(key).alias("__key"), F.lit(1).alias("__b"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    joined = a.join(b, "__key", "full")
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*columns) if columns else Window.partitionBy(key).orderBy(key))
+
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        named = [F.col(c).alias(f"{mark}_{c}") for c in columns]
+        return df.select(F.col(key).alias("__key"), nth.alias("__nth"), F.lit(1).alias(f"__{mark}"), *named)
+
+    joined = side(left, "a").join(side(right, "b"), ["__key", "__nth"], "full")
     both = F.col("__a").isNotNull() & F.col("__b").isNotNull()
     return joined.agg(
         F.count("__a").alias("left_rows"),

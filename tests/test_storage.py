@@ -188,6 +188,23 @@ def test_merge_moves_a_row_between_partitions(spark, folder, old, new):
         assert rows(got.select("id", "part", "v")) == sorted([(1, new, 2), (2, "stay", 1)], key=repr)
 
 
+def test_parity_pairs_repeated_keys(spark):
+    from merchlens.sources.sinks import parity
+
+    left = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 3.0), (2, 1.0)], "k int, v double")
+    right = spark.createDataFrame([(1, 1.0), (1, 2.5), (3, 1.0)], "k int, v double")
+    row = parity(left, right, "k").first()
+    assert (row.left_rows, row.right_rows, row.left_only, row.right_only, row.v_differs) == (4, 3, 2, 1, 1)
+
+
+def test_missing_money_is_null_or_given(spark):
+    from merchlens.sources.operational import MONEY_COLUMNS, normalise_orders
+
+    order = spark.createDataFrame([("1", "x")], f"order_id string, {MONEY_COLUMNS[0]} string")
+    assert normalise_orders(order).first()[MONEY_COLUMNS[0]] is None
+    assert normalise_orders(order, missing_money=0.0).first()[MONEY_COLUMNS[0]] == 0.0
+
+
 def test_merge_without_order_keeps_the_largest_row(spark, folder):
     delta = spark.createDataFrame([(1, "a", 1), (1, "a", 3), (1, "a", 2)], "id int, part string, v int")
     merge_into(spark, folder, delta, ["id"], "part")
