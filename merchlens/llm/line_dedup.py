@@ -51,21 +51,21 @@ class LineRuns:
     def add(self, pairs: DataFrame) -> DataFrame:
         """Take in a batch (id, h1, h2); return its (id, h1) that an earlier document owns.
 
-        The result is written before it is returned.
+        The batch shrinks to one row per hash before it is shuffled, and is bucketed like the runs. Only hashes that
+        are shared meet the batch's rows again, in a join that adaptive execution can split, so a line that a third of
+        all documents hold is never one task. The result is written before it is returned.
         """
-        dealt = pairs.repartition(self.buckets, *HASH)
-        seen = self.runs()
-        first = dealt.groupBy(*HASH).agg(F.min("id").alias("owner"))
-        for run in seen:
-            first = first.join(run, list(HASH), "left_anti")
-        mine = self._run(first)
-        drops = None
-        for run in [mine, *seen]:
-            owned = dealt.join(run, list(HASH)).where("owner < id").select("id", "h1")
-            drops = owned if drops is None else drops.union(owned)
-        drops = written(drops, "dropped-lines")
-        self._keep(mine, 0)
-        return drops
+        hashes = list(HASH)
+        batch = self._run(pairs.groupBy(*HASH).agg(F.min("id").alias("owner"), F.max("id").alias("last")))
+        fresh, shared = batch, None
+        for run in self.runs():
+            fresh = fresh.join(run, hashes, "left_anti")
+            again = batch.select(*HASH).join(run, hashes).select(*HASH, "owner")
+            shared = again if shared is None else shared.union(again)
+        within = fresh.where("owner < last").select(*HASH, "owner")
+        owners = written(within if shared is None else shared.union(within), "shared-lines")
+        self._keep(self._run(fresh.select(*HASH, "owner")), 0)
+        return written(pairs.join(owners, hashes).where("owner < id").select("id", "h1"), "dropped-lines")
 
     def _keep(self, run: DataFrame, level: int) -> None:
         if level == len(self.levels):
