@@ -4,6 +4,10 @@ Eight rules read one ratio of a document each and vote that it is poor, or absta
 votes that it is good prose, or abstains. How often each rule is right is estimated without labels by
 expectation-maximisation over the counts of vote patterns (at most 2^9 rows, whatever the corpus). A document goes if
 it is probably poor given all votes together. Everything is DataFrame operations; the driver holds the accuracies only.
+
+Two rules read layout, which says nothing about some clean texts, and abstain there: ``open_lines`` where sentences end
+as often as in prose (hard-wrapped lines) or lines are as short as those of a list or verse, ``odd_length`` where most
+letters are of a script that puts no spaces between words.
 """
 
 from __future__ import annotations
@@ -33,6 +37,10 @@ ROUNDS, SETTLED = 20, 1e-3
 MIN_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
+CLOSED = r"[.!?:;,|。！？：；，、…।॥؟؛،۔።][\x20\x09-\x0D]*$"  # how a line ends that is not open
+ENDED = r"""[。！？]|[.!?…।॥؟۔።]["'”’»)\]]*(?=[\x20\x09-\x0D]|\z)"""  # the end of a sentence
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+SENTENCE, ROW, ROWS = 30, 12, 5  # most words a sentence of prose and a row of a list have, least rows of a list
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -57,14 +65,16 @@ def measures(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         _count(t, "[#*$%&|<>]").cast("bigint").alias("n_symbols"),
         _count(t, "!").alias("exclaimed"),
         _count(t, r"\p{Lu}").alias("capital"),
+        F.regexp_count(t, F.lit(ENDED)).alias("ended"),
+        _count(t, UNSPACED).alias("unspaced"),
     )
-    so_far = [*kept, "word_chars", "n_symbols", "exclaimed", "capital"]
+    so_far = [*kept, "word_chars", "n_symbols", "exclaimed", "capital", "ended", "unspaced"]
     second = first.select(
         *so_far,
         F.size(w).cast("bigint").alias("n_words"),
         F.size("__lines").alias("n_lines"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint").alias("n_dup_lines"),
-        F.size(F.filter("__lines", lambda x: ~x.rlike(r"[.!?:;,|][\x20\x09-\x0D]*$"))).alias("open_line"),
+        F.size(F.filter("__lines", lambda x: ~x.rlike(CLOSED))).alias("open_line"),
         F.size(F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1)))).alias("echoed"),
         F.when(
             F.size(w) >= 3,
@@ -108,7 +118,10 @@ def measures(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 
 def votes(measured: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` and for each rule whether it votes. A text without words has no ratios and gets no vote."""
+    """``keep`` and for each rule whether it votes. A text without words has no ratios and gets no vote.
+
+    Two letters of a script without spaces count as a word of a sentence or row.
+    """
 
     def share(part: str, whole: str) -> Column:
         return F.col(part) / F.when(F.col(whole) > 0, F.col(whole))
@@ -123,10 +136,14 @@ def votes(measured: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         "open_lines": share("open_line", "n_lines"),
         "odd_length": F.abs(share("word_chars", "n_words") - USUAL_LENGTH),
     }
+    units = F.greatest(F.col("n_words"), F.col("unspaced") / 2)
+    wrapped = F.col("ended") * SENTENCE >= units
+    listed = (F.col("n_lines") >= ROWS) & (units <= ROW * F.col("n_lines"))
+    abstains = {"open_lines": wrapped | listed, "odd_length": 2 * F.col("unspaced") > F.col("word_chars")}
     prose = F.lit(True)
     for name, below in PROSE:
         prose = prose & (ratios[name] < below)
-    voting = {name: ratios[name] > above for name, above in DEFECTS} | {"prose": prose}
+    voting = {n: (ratios[n] > above) & ~abstains.get(n, F.lit(False)) for n, above in DEFECTS} | {"prose": prose}
     return measured.select(*keep, *(F.coalesce(v, F.lit(False)).alias(f"v_{name}") for name, v in voting.items()))
 
 

@@ -105,3 +105,24 @@ def test_no_rule_votes(llm):
     """Without votes the chance is even and the document stays."""
     row = llm.range(1).select(*(F.lit(False).alias(f"v_{n}") for n in q.RULES))
     assert row.select(q.posterior(dict.fromkeys(q.RULES, q.START)).alias("p")).first().p == 0.5
+
+
+def rows_of(words, n):
+    return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
+def test_layout_of_clean_texts_is_no_defect(llm):
+    """Hard-wrapped prose, lists and scripts without spaces stay; an endless run of words and junk still go."""
+    bare = [w.strip(".,") for w in prose(90, 160).split()]
+    han = ["".join(chr(0x4E00 + (7 * i * i + 31 * k) % 5000) for k in range(18)) for i in range(80)]
+    clean = {
+        100: rows_of(prose(80, 150).split(), 8),
+        101: rows_of(bare, 5),
+        102: "。\n".join(han) + "。",
+        103: "\n".join(han),
+    }
+    poor = {200: " ".join(bare), 201: rows_of([w + "$$$" for w in prose(91, 160).split()], 8)}
+    docs = frame(llm, [*(prose(i, 60 + i) for i in range(40)), *clean.items(), *poor.items()])
+    kept = {r.doc_id for r in q.keep_good(docs).collect()}
+    assert kept == {*range(40), *clean}
+    assert {r.doc_id for r in q.judge(docs).where("kept").collect()} == kept
