@@ -3,13 +3,16 @@
 The words of a test item and its pairs of neighbouring words are counted over all documents. The rarer half of an
 item's pairs (eight at least) are its seeds. Where a document has a seed, the words around it are aligned with the
 item; matches weigh by the rarity of the word, so chance agreement in common words scores little, and edited,
-shortened or reordered copies still reach a good part of the item's own score.
+shortened or reordered copies still reach a good part of the item's own score. An excerpt of a long item does not;
+so a passage also counts if an alignment that counts words, less half a word for a gap or a mismatch, reaches ``RUN``.
+Every ``INTACT`` words of an item hold a seed, so none with up to three changes is missed.
 
 The test items are held in every task, in blocks of ``BLOCK_ITEMS``: a larger benchmark takes more passes.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,16 +24,25 @@ from merchlens.llm.common import LOWER_BYTES, PIECE
 
 BLOCK_ITEMS = 20_000
 LEAST_SEEDS = 8
+INTACT = 4  # words of an item in a row that hold a seed
 SCORE = 0.5  # of the item's score against itself
 PENALTY = 0.1  # of the item's mean word weight, for a gap or a mismatch
+RUN, DEAR = 13, 0.5  # words that are a copy however long the item is, and what a gap or a mismatch costs of them
 
+#: Scripts without spaces between words: each character is a word.
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 #: Lower case, and ASCII punctuation counts as white space.
 PLAIN = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in LOWER_BYTES)
 
 
+def plain(text: str | None) -> bytes:
+    text = text or ""
+    return (text if text.isascii() else UNSPACED.sub(r" \1 ", text)).encode().translate(PLAIN)
+
+
 def numbered(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
     """The words of a text as numbers, 0 for words of no test item; a long text goes piece by piece."""
-    data, get, parts, start = (text or "").encode().translate(PLAIN), vocabulary.get, [], 0
+    data, get, parts, start = plain(text), vocabulary.get, [], 0
     while start < len(data):
         end = len(data) if start + PIECE >= len(data) else data.find(b" ", start + PIECE)
         end = len(data) if end < 0 else end
@@ -46,10 +58,10 @@ class Items:
         self.vocabulary: dict[bytes, int] = {}
         self.ids, self.words = [], []
         for item, text in rows:
-            plain = (text or "").encode().translate(PLAIN).split()
+            own = plain(text).split()
             self.ids.append(item)
             self.words.append(
-                np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in plain], dtype=np.int64)
+                np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in own], dtype=np.int64)
             )
         self.size = len(self.vocabulary) + 1
         pairs = [self.pairs(w) for w in self.words]
@@ -111,6 +123,12 @@ def align(words: np.ndarray, item: np.ndarray, weight: np.ndarray, penalty: floa
     return best, end
 
 
+def may_hold(inside: np.ndarray) -> bool:
+    """Whether an alignment by words could reach ``RUN``; ``inside``: which of the text's words are the item's at all."""
+    total = np.concatenate([[0.0], np.cumsum(np.where(inside, 1.0, -DEAR))])
+    return bool((total - np.minimum.accumulate(total)).max() >= RUN)
+
+
 class Matcher:
     """Finds and scores the items of a block in a text."""
 
@@ -118,11 +136,16 @@ class Matcher:
         self.items, self.score = items, score
         self.weight = np.log((documents + 1) / (words + 0.5)) + 1.0
         self.weight[0] = 0.0
+        self.one = np.ones(len(self.weight))
         self.total = [float(self.weight[w].sum()) for w in items.words]
         seeds: list[tuple[int, int, int]] = []
         for number, own in enumerate(items.of_item):
             order = np.argsort(pairs[own], kind="stable")[: max(LEAST_SEEDS, -(-len(own) // 2))]
-            seeds += [(int(own[at]), number, int(at)) for at in order]
+            chosen = set(order.tolist())
+            for at in range(len(own) - INTACT + 2):  # words have one pair less
+                if chosen.isdisjoint(range(at, at + INTACT - 1)):
+                    chosen.add(at + int(np.argmin(pairs[own[at : at + INTACT - 1]])))
+            seeds += [(int(own[at]), number, at) for at in sorted(chosen)]
         seeds.sort()
         table = np.array(seeds, dtype=np.int64).reshape(len(seeds), 3)
         used, self.first = np.unique(table[:, 0], return_index=True)
@@ -151,18 +174,20 @@ class Matcher:
         numbers = numbered(text, self.items.vocabulary)
         for number, starts in self.windows(numbers).items():
             words, total = self.items.words[number], self.total[number]
-            wide, best, end = len(words), 0.0, 0
-            known = np.unique(words)
+            wide, best, end, copied = len(words), 0.0, 0, False
             for start in starts:
                 low = max(0, start - wide // 2)
                 part = numbers[low : start + 2 * wide]
+                dense = may_hold(np.isin(part, words))
                 # No alignment can score more than the item's words that occur here at all.
-                if self.weight[words[np.isin(words, part)]].sum() < self.score * total or not len(known):
+                if not dense and self.weight[words[np.isin(words, part)]].sum() < self.score * total or not wide:
                     continue
                 value, last = align(part, words, self.weight, PENALTY * total / wide)
                 if value > best:
                     best, end = value, low + last
-            if total and best >= self.score * total:
+                if dense and not copied and value < self.score * total:
+                    copied = align(part, words, self.one, DEAR)[0] >= RUN
+            if total and (copied or best >= self.score * total):
                 yield self.items.ids[number], round(best / total, 6), end
 
 
@@ -182,7 +207,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> DataFr
 
     score is the share of the item's weight that the best passage reaches (1: word for word); end_word counts the
     document's words up to the end of that passage. Words are compared in ASCII lower case without ASCII punctuation.
-    Items of one word and null or empty texts match nothing. Repeated rows are judged like others; equal items each
+    A document also holds a copy if 13 words of the item stand in it in a row, or more with a few changes, however small
+    a part of the item that is. In scripts without spaces each character is a word. Items of one word and null or empty
+    texts match nothing. Repeated rows are judged like others; equal items each
     match. Rows without doc_id are reported with a null. Empty tables give no rows. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -109,3 +109,26 @@ def test_empty_tables(llm):
     assert d.leaks(docs.where("false"), benchmark).count() == 0
     assert d.leaks(docs, benchmark.where("false")).count() == 0
     assert d.without_leaks(docs, benchmark.where("false")).count() == docs.count()
+
+
+@pytest.mark.parametrize("length", [40, 300])
+@pytest.mark.parametrize("at", [0.0, 0.3, 1.0])
+def test_excerpts(llm, length, at):
+    """Parts of an item of 13 words in a row, or of more words with some changed, are copies however long the item is."""
+    item = prose(500, length, 3000).split()
+    first = int(at * (length - 20))
+    edited = [*item[first : first + 20]]
+    edited[6] = edited[13] = "else"
+    docs = [prose(i, 120, 3000) for i in range(40)]
+    docs += [f"{prose(50, 60, 3000)} {' '.join(part)} {prose(51, 60, 3000)}" for part in (item[first : first + 13], edited)]
+    benchmark = llm.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = d.leaks(frame(llm, docs), benchmark).collect()
+    assert sorted(r.doc_id for r in found) == [40, 41] and all(r.score < d.SCORE for r in found)
+    assert sorted(r.doc_id for r in d.without_leaks(frame(llm, docs), benchmark).collect()) == list(range(40))
+
+
+def test_scripts_without_spaces(llm):
+    han = "".join(chr(0x4E00 + (7 * i * i + 31 * i) % 5000) for i in range(60))
+    benchmark = llm.createDataFrame([(1, han)], "item_id bigint, text string")
+    docs = [*(prose(i, 80) for i in range(5)), "\u6211" * 30 + han[5:55] + "\u4f60" * 30]
+    assert [r.doc_id for r in d.leaks(frame(llm, docs), benchmark).collect()] == [5]
