@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm import chat, decontaminate, langid, line_dedup, packing, quality, sharding, simhash, toxicity, url_filter
+from merchlens.llm import chat, decontaminate, langid, line_dedup, packing, quality, sharding, simhash, toxicity, url_filter, vector_codes
 from merchlens.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,50 @@ def identify_languages(spark, sf_dir):
 def judge_quality(spark, sf_dir):
     """Measures and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+# Rounds unrolled: assign every part to its nearest entry, then floor the means.
+OP11_ASSIGN = """
+near{r} AS MATERIALIZED (
+  SELECT vec_id, part, min(dist * 16 + entry) AS best FROM (
+    SELECT x.vec_id, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v)) AS dist
+    FROM cells x JOIN book{r} b USING (part, pos) GROUP BY x.vec_id, x.part, b.entry)
+  GROUP BY vec_id, part)"""
+
+OP11_REFINE = """
+book{n} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN (
+    SELECT x.part, CAST(n.best % 16 AS BIGINT) AS entry, x.pos, CAST(floor(sum(x.v) / count(*)) AS BIGINT) AS v
+    FROM cells x JOIN near{r} n USING (vec_id, part) GROUP BY ALL) m USING (part, entry, pos))"""
+
+OP11 = (
+    """
+WITH kept AS (
+  SELECT vec_id, label, embedding, len(embedding) // 8 AS wide FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (
+  SELECT vec_id, (i - 1) // wide AS part, (i - 1) % wide AS pos,
+         CAST(floor(4096 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS v
+  FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM kept)),
+book0 AS MATERIALIZED (
+  SELECT c.part, f.entry, c.pos, c.v FROM cells c JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 16) f USING (vec_id)),"""
+    + ",".join(OP11_ASSIGN.format(r=r) + "," + OP11_REFINE.format(r=r, n=r + 1) for r in range(vector_codes.ROUNDS))
+    + ","
+    + OP11_ASSIGN.format(r=vector_codes.ROUNDS)
+    + """,
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', CAST(best % 16 AS INTEGER)), '' ORDER BY part) AS code,
+         CAST(sum(best // 16) AS BIGINT) AS error
+  FROM near6 GROUP BY vec_id)
+SELECT c.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(v, ',' ORDER BY part, entry, pos)) FROM book6) AS codebooks_sha256
+FROM coded c JOIN kept k USING (vec_id)
+"""
+)
+
+
+@query("op11_vector_code_compression", OP11)
+def compress_vectors(spark, sf_dir):
+    """Product code, errors and codebook digest of every vector."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
