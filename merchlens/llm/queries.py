@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm import chat, decontaminate, langid, line_dedup, packing, quality, sharding, simhash, toxicity, url_filter, vector_codes
+from merchlens.llm import (
+    chat,
+    decontaminate,
+    langid,
+    line_dedup,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    spelling,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 from merchlens.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +210,9 @@ FROM coded c JOIN kept k USING (vec_id)
 def compress_vectors(spark, sf_dir):
     """Product code, errors and codebook digest of every vector."""
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_spelling_variants")
+def group_spellings(spark, sf_dir):
+    """Form and root of every frequent word."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
