@@ -14,6 +14,7 @@ from merchlens.llm import (
     line_dedup,
     packing,
     quality,
+    quality_score,
     sharding,
     simhash,
     spelling,
@@ -216,3 +217,9 @@ def compress_vectors(spark, sf_dir):
 def group_spellings(spark, sf_dir):
     """Form and root of every frequent word."""
     return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_quality_classifier")
+def score_quality(spark, sf_dir):
+    """Quality score of every document."""
+    return quality_score.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
