@@ -1,9 +1,11 @@
 """Quality rules by weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
 Eight rules read one ratio of a document each and vote that it is poor, or abstain; one rule reads several ratios and
-votes that it is good prose, or abstains. How often each rule is right is estimated without labels by
-expectation-maximisation over the counts of vote patterns (at most 2^9 rows, whatever the corpus). A document goes if
-it is probably poor given all votes together. Everything is DataFrame operations; the driver holds the accuracies only.
+votes that it is good prose, or abstains. A model of two classes, poor and good, is estimated without labels by
+expectation-maximisation over the counts of vote patterns (at most 2^9 rows, whatever the corpus): how many documents
+are poor, and how often each rule votes in either class, so that an abstention counts as well. A rule that votes among
+otherwise clean documents loses its weight. A document goes if it is probably poor given all votes and abstentions.
+Everything is DataFrame operations; the driver holds the rates only.
 
 Two rules read layout, which says nothing about some clean texts, and abstain there: ``open_lines`` where sentences end
 as often as in prose (hard-wrapped lines) or lines are as short as those of a list or verse, ``odd_length`` where most
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.common import written
+from merchlens.llm.common import SPACE, written
 
 # Name of the ratio, poor above.
 DEFECTS = (
@@ -28,21 +30,31 @@ DEFECTS = (
     ("open_lines", 0.5),
     ("odd_length", 3.0),
 )
+CUTS = dict(DEFECTS)
 # Good prose has all of these below.
-PROSE = (("symbols", 0.01), ("exclamations", 0.01), ("capitals", 0.1), ("open_lines", 0.1), ("odd_length", 1.5))
+PROSE = (("symbols", 0.01), ("exclamations", 0.01), ("capitals", 0.1), ("odd_length", 1.5))
 RULES = (*(name for name, _ in DEFECTS), "prose")
 USUAL_LENGTH = 5.5  # mean word length in code points, from which odd_length measures
-START, LEAST, MOST = 0.9, 0.7, 0.99  # a rule's accuracy: first guess, and the range it is held in
-ROUNDS, SETTLED = 20, 1e-3
+# First guesses: the share of poor documents, and how often a rule votes where it should and where it should not. They
+# count as WEIGHT documents of each class. Rates are held between LEAST and MOST: no vote or abstention is certain.
+SHARE, RIGHTLY, WRONGLY, PROSE_WRONGLY, WEIGHT = 0.1, 0.3, 0.02, 0.1, 10
+LEAST, MOST = 0.001, 0.95
+ROUNDS, SETTLED = 30, 1e-3
 MIN_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
-CLOSED = r"[.!?:;,|。！？：；，、…।॥؟؛،۔።][\x20\x09-\x0D]*$"  # how a line ends that is not open
+CLOSING = ".!?:;,|。！？：；，、…।॥؟؛،۔።"  # what a line ends with that is not open
 ENDED = r"""[。！？]|[.!?…।॥؟۔።]["'”’»)\]]*(?=[\x20\x09-\x0D]|\z)"""  # the end of a sentence
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = r"[\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
 SENTENCE, ROW, ROWS = 30, 12, 5  # most words a sentence of prose and a row of a list have, least rows of a list
 
 
+def last_of(line: Column) -> Column:
+    """The last code point that is no white space; ``line`` has one."""
+    return F.substring(F.rtrim(line, F.lit(SPACE)), -1, 1)
+
+
 def _count(text: Column, pattern: str) -> Column:
     """Code points of ``text`` that a one-character pattern matches."""
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
@@ -65,16 +77,16 @@ def measures(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         _count(t, "[#*$%&|<>]").cast("bigint").alias("n_symbols"),
         _count(t, "!").alias("exclaimed"),
         _count(t, r"\p{Lu}").alias("capital"),
-        F.regexp_count(t, F.lit(ENDED)).alias("ended"),
-        _count(t, UNSPACED).alias("unspaced"),
+        t,
     )
-    so_far = [*kept, "word_chars", "n_symbols", "exclaimed", "capital", "ended", "unspaced"]
+    so_far = [*kept, "word_chars", "n_symbols", "exclaimed", "capital"]
     second = first.select(
         *so_far,
+        t,
         F.size(w).cast("bigint").alias("n_words"),
         F.size("__lines").alias("n_lines"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint").alias("n_dup_lines"),
-        F.size(F.filter("__lines", lambda x: ~x.rlike(CLOSED))).alias("open_line"),
+        F.size(F.filter("__lines", lambda x: ~F.contains(F.lit(CLOSING), last_of(x)))).alias("open_line"),
         F.size(F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1)))).alias("echoed"),
         F.when(
             F.size(w) >= 3,
@@ -87,7 +99,20 @@ def measures(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     )
     so_far += ["n_words", "n_lines", "n_dup_lines", "open_line", "echoed"]
     s = F.col("__sorted")
-    third = second.select(*so_far, "__hashes", F.sort_array("__hashes").alias("__sorted")).select(
+    # What only an abstention reads is counted only where its rule may vote.
+    open_lines = F.col("open_line") > CUTS["open_lines"] * F.col("n_lines")
+    off = F.abs(F.col("word_chars") - USUAL_LENGTH * F.col("n_words"))
+    odd_length = off >= dict(PROSE)["odd_length"] * F.col("n_words")
+    asian = (open_lines | odd_length) & (F.octet_length(t) > F.length(t))
+    third = second.select(
+        *so_far,
+        F.when(open_lines, F.regexp_count(t, F.lit(ENDED))).otherwise(0).alias("ended"),
+        F.when(asian, _count(t, UNSPACED)).otherwise(0).alias("unspaced"),
+        "__hashes",
+        F.sort_array("__hashes").alias("__sorted"),
+    )
+    so_far += ["ended", "unspaced"]
+    third = third.select(
         *so_far,
         F.when(
             F.size(F.array_distinct(s)) < F.size(s),
@@ -142,45 +167,69 @@ def votes(measured: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     abstains = {"open_lines": wrapped | listed, "odd_length": 2 * F.col("unspaced") > F.col("word_chars")}
     prose = F.lit(True)
     for name, below in PROSE:
-        prose = prose & (ratios[name] < below)
+        prose = prose & ((ratios[name] < below) | abstains.get(name, F.lit(False)))
     voting = {n: (ratios[n] > above) & ~abstains.get(n, F.lit(False)) for n, above in DEFECTS} | {"prose": prose}
     return measured.select(*keep, *(F.coalesce(v, F.lit(False)).alias(f"v_{name}") for name, v in voting.items()))
 
 
-def posterior(accuracy: dict[str, float]) -> Column:
-    """Probability that a document with these votes is poor; a half without any vote."""
-    odds = F.lit(1.0)
-    for name in RULES:
-        right = accuracy[name] / (1 - accuracy[name])
-        odds = odds * F.when(F.col(f"v_{name}"), F.lit(1 / right if name == "prose" else right)).otherwise(F.lit(1.0))
+Rates = dict[str, tuple[float, float]]
+
+
+def first_rates() -> Rates:
+    """How often each rule votes in poor and in good documents, before anything is seen."""
+    return {name: (PROSE_WRONGLY, 1 - PROSE_WRONGLY) if name == "prose" else (RIGHTLY, WRONGLY) for name in RULES}
+
+
+def posterior(share: float, rates: Rates) -> Column:
+    """Probability that a document with these votes and abstentions is poor."""
+    odds = F.lit(share / (1 - share))
+    for name, (poor, good) in rates.items():
+        odds = odds * F.when(F.col(f"v_{name}"), poor / good).otherwise((1 - poor) / (1 - good))
     return odds / (1 + odds)
 
 
-def estimate(voted: DataFrame) -> dict[str, float]:
-    """How often each rule is right when it votes, by expectation-maximisation over the vote patterns of all documents.
+def ordered(name: str, poor: float, good: float, all_of_them: float) -> tuple[float, float]:
+    """Rates held in their range, and equal where they would say that a defect is good or that prose is poor."""
+    if (poor > good) if name == "prose" else (poor < good):
+        poor = good = all_of_them
+    return min(MOST, max(LEAST, poor)), min(MOST, max(LEAST, good))
+
 
-    An accuracy is the mean probability of what the rule says where it votes, with one more vote at the first guess,
-    held between ``LEAST`` and ``MOST``: rules are taken to be better than chance and never certain. Ends when no
-    accuracy moves by ``SETTLED``. Without any document the first guesses stay.
+def estimate(voted: DataFrame) -> tuple[float, Rates]:
+    """The share of poor documents and the rules' rates, by expectation-maximisation over all vote patterns.
+
+    A rate is the expected share of a class in which the rule votes, with ``WEIGHT`` documents at the first guess. Which
+    class is which is fixed by the rules: prose votes no less in good documents, defects no less in poor ones. Ends when
+    no figure moves by ``SETTLED``. Without any document the first guesses stay.
     """
     columns = [f"v_{name}" for name in RULES]
     patterns = written(
         voted.groupBy(*columns).agg(F.count("*").alias("n")).coalesce(1).sortWithinPartitions(*columns), "vote-patterns"
     )
-    accuracy = {name: START for name in RULES}
+    share, rates, start = SHARE, first_rates(), first_rates()
     for _ in range(ROUNDS):
-        weighed = patterns.withColumn("poor", posterior(accuracy))
-        said = {name: (1 - F.col("poor")) if name == "prose" else F.col("poor") for name in RULES}
+        weighed = patterns.withColumn("poor", posterior(share, rates) * F.col("n"))
         row = weighed.agg(
-            *(F.sum(F.when(F.col(f"v_{n}"), said[n] * F.col("n")).otherwise(0.0)).alias(f"right_{n}") for n in RULES),
-            *(F.sum(F.when(F.col(f"v_{n}"), F.col("n")).otherwise(0)).alias(f"all_{n}") for n in RULES),
+            F.sum("n").alias("n"),
+            F.sum("poor").alias("poor"),
+            *(F.sum(F.when(F.col(f"v_{n}"), F.col("n"))).alias(f"all_{n}") for n in RULES),
+            *(F.sum(F.when(F.col(f"v_{n}"), F.col("poor"))).alias(f"poor_{n}") for n in RULES),
         ).first()
-        before = accuracy
-        means = {n: ((row[f"right_{n}"] or 0) + START) / ((row[f"all_{n}"] or 0) + 1) for n in RULES}
-        accuracy = {n: min(MOST, max(LEAST, mean)) for n, mean in means.items()}
-        if max(abs(accuracy[n] - before[n]) for n in RULES) < SETTLED:
+        found = {name: value or 0 for name, value in row.asDict().items()}
+        before, n, poor = {"share": (share, share)} | rates, found["n"], found["poor"]
+        share = (poor + WEIGHT * SHARE) / (n + WEIGHT)
+        for name, (in_poor, in_good) in start.items():
+            votes_all, votes_poor = found[f"all_{name}"], found[f"poor_{name}"]
+            rates[name] = ordered(
+                name,
+                (votes_poor + WEIGHT * in_poor) / (poor + WEIGHT),
+                (votes_all - votes_poor + WEIGHT * in_good) / (n - poor + WEIGHT),
+                (votes_all + WEIGHT * (in_poor + in_good)) / (n + 2 * WEIGHT),
+            )
+        now = {"share": (share, share)} | rates
+        if max(abs(a - b) for name in now for a, b in zip(now[name], before[name], strict=True)) < SETTLED:
             break
-    return accuracy
+    return share, rates
 
 
 def base_failed(words: str = "n_words", repeats: str = "n_repeat_words") -> Column:
@@ -197,7 +246,7 @@ def judge(docs: DataFrame) -> DataFrame:
     base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     measured = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     voted = written(votes(measures(measured), base), "votes")
-    poor = posterior(estimate(voted))
+    poor = posterior(*estimate(voted))
     return voted.select(
         *base, base_failed().alias("base_failed"), (~base_failed() & (poor <= 0.5)).alias("kept"), poor.alias("poor")
     )
@@ -211,4 +260,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col("text"))
     voted = written(votes(measures(held, ("__row",)), ("__row", "n_words", "n_repeat_words")), "voted")
-    return voted.where(~base_failed() & (posterior(estimate(voted)) <= 0.5)).select("__row.*")
+    return voted.where(~base_failed() & (posterior(*estimate(voted)) <= 0.5)).select("__row.*")

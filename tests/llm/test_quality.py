@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
@@ -26,6 +25,9 @@ def brute(text):
     if not words:
         return base, dict.fromkeys(q.RULES, False)
     chars = base[1]
+    unspaced = len(re.findall("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]", text))
+    ended = len(re.findall("[。！？]|[.!?…।॥؟۔።][\"'”’»)\\]]*(?=[\\x20\\x09-\\x0D]|\\Z)", text))
+    units = max(base[0], unspaced / 2)
     ratio = {
         "symbols": base[2] / chars,
         "repeats": base[4] / base[0],
@@ -33,27 +35,41 @@ def brute(text):
         "exclamations": text.count("!") / chars,
         "capitals": sum(c.isupper() for c in text) / chars,
         "echoes": sum(a == b for a, b in zip(words, words[1:], strict=False)) / base[0],
-        "open_lines": sum(not re.search(r"[.!?:;,|][\x20\x09-\x0D]*$", x) for x in lines) / len(lines),
+        "open_lines": sum(x.rstrip(" \t\n\x0b\x0c\r")[-1] not in q.CLOSING for x in lines) / len(lines),
         "odd_length": abs(chars / base[0] - q.USUAL_LENGTH),
     }
-    votes = {n: ratio[n] > above for n, above in q.DEFECTS}
-    return base, votes | {"prose": all(ratio[n] < below for n, below in q.PROSE)}
+    abstains = {
+        "open_lines": ended * 30 >= units or (len(lines) >= 5 and units <= 12 * len(lines)),
+        "odd_length": 2 * unspaced > chars,
+    }
+    votes = {n: ratio[n] > above and not abstains.get(n) for n, above in q.DEFECTS}
+    return base, votes | {"prose": all(ratio[n] < below or abstains.get(n, False) for n, below in q.PROSE)}
 
 
-def brute_accuracies(votes):
-    right = dict.fromkeys(q.RULES, q.START)
+def brute_chances(votes):
+    """Two classes over single documents, no patterns."""
+    share, rates = 0.1, {n: (0.1, 0.9) if n == "prose" else (0.3, 0.02) for n in q.RULES}
 
     def poor(v):
-        odds = math.prod((a := right[n] / (1 - right[n])) ** (-1 if n == "prose" else 1) for n in q.RULES if v[n])
+        odds = share / (1 - share)
+        for n, (p, g) in rates.items():
+            odds *= p / g if v[n] else (1 - p) / (1 - g)
         return odds / (1 + odds)
 
     for _ in range(q.ROUNDS):
-        p, before = [poor(v) for v in votes], dict(right)
+        chance, before = [poor(v) for v in votes], [share, *(x for n in q.RULES for x in rates[n])]
+        bad, good = sum(chance), len(votes) - sum(chance)
+        share, fresh = (bad + 1) / (len(votes) + 10), {}
         for n in q.RULES:
-            said = [1 - x if n == "prose" else x for x, v in zip(p, votes, strict=True) if v[n]]
-            before[n] = min(q.MOST, max(q.LEAST, (sum(said) + q.START) / (len(said) + 1)))
-        moved, right = max(abs(before[n] - right[n]) for n in q.RULES), before
-        if moved < q.SETTLED:
+            first = (0.1, 0.9) if n == "prose" else (0.3, 0.02)
+            yes = sum(c for c, v in zip(chance, votes, strict=True) if v[n])
+            of_all = sum(v[n] for v in votes)
+            pair = ((yes + 10 * first[0]) / (bad + 10), (of_all - yes + 10 * first[1]) / (good + 10))
+            if (pair[0] > pair[1]) == (n == "prose") and pair[0] != pair[1]:
+                pair = ((of_all + 10 * sum(first)) / (len(votes) + 20),) * 2
+            fresh[n] = tuple(min(0.95, max(0.001, x)) for x in pair)
+        rates = fresh
+        if max(abs(a - b) for a, b in zip(before, [share, *(x for n in q.RULES for x in rates[n])], strict=True)) < q.SETTLED:
             break
     return [poor(v) for v in votes]
 
@@ -85,7 +101,7 @@ def texts():
 def test_brute_force(llm):
     docs = frame(llm, texts()).withColumn("n_words", F.lit("clash")).withColumn("v_prose", F.lit(1))
     judged = [brute(r.text) for r in docs.collect()]
-    poor = brute_accuracies([v for _, v in judged])
+    poor = brute_chances([v for _, v in judged])
     expected = []
     for row, (base, _), p in zip(docs.collect(), judged, poor, strict=True):
         failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
@@ -101,10 +117,45 @@ def test_empty_table(llm):
     assert q.judge(frame(llm, [])).count() == 0 and q.keep_good(frame(llm, [])).count() == 0
 
 
-def test_no_rule_votes(llm):
-    """Without votes the chance is even and the document stays."""
-    row = llm.range(1).select(*(F.lit(False).alias(f"v_{n}") for n in q.RULES))
-    assert row.select(q.posterior(dict.fromkeys(q.RULES, q.START)).alias("p")).first().p == 0.5
+def votes_of(llm, counted):
+    """One row per document from {names of the voting rules: documents}."""
+    rows = [tuple(n in names.split() for n in q.RULES) for names, many in counted.items() for _ in range(many)]
+    return llm.createDataFrame(rows, ", ".join(f"v_{n} boolean" for n in q.RULES))
+
+
+def chances(llm, counted):
+    voted = votes_of(llm, counted)
+    share, rates = q.estimate(voted)
+    out = voted.select(*voted.columns, q.posterior(share, rates).alias("poor")).distinct().collect()
+    return {" ".join(n for n in q.RULES if r[f"v_{n}"]): r.poor for r in out}, share
+
+
+JUNK = {"symbols": 40, "repeats exclamations capitals": 30, "repeats echoes": 30}
+
+
+def test_a_vote_that_clean_documents_share_does_not_reject(llm):
+    """A rule that votes on a fifth of the clean documents is worth little, alone and beside prose; the others stay worth much."""
+    for common in ("open_lines", "repeats", "symbols"):
+        poor, share = chances(llm, {"prose": 800, f"{common} prose": 200} | JUNK)
+        assert poor[f"{common} prose"] < 0.5 and poor["prose"] < 0.01
+        assert all(poor[names] > 0.9 for names in JUNK if names != common)
+        assert 0.03 < share < 0.2
+
+
+def test_abstentions_count(llm):
+    """A rare defect rejects; nothing at all said is not enough."""
+    poor, _ = chances(llm, {"prose": 900, "": 5, "capitals": 3, "prose echoes": 1} | JUNK)
+    assert poor["capitals"] > 0.5 > poor[""] and poor[""] > poor["prose"]
+
+
+def test_no_documents(llm):
+    share, rates = q.estimate(votes_of(llm, {}))
+    assert (share, rates) == (q.SHARE, q.first_rates())
+
+
+def test_rates_keep_their_order():
+    assert q.ordered("echoes", 0.1, 0.3, 0.2) == (0.2, 0.2) and q.ordered("prose", 0.3, 0.1, 0.2) == (0.2, 0.2)
+    assert q.ordered("prose", 0.0, 1.0, 0.5) == (q.LEAST, q.MOST)
 
 
 def rows_of(words, n):
