@@ -65,7 +65,12 @@ FROM order_rows""",
 
 CLICK = {
     **_COMMON,
-    "raw_order_items": _ITEMS + "\nWHERE FALSE",
+    "raw_order_items": f"""
+SELECT event_id * 100 + 1 AS order_item_id, event_id AS order_id, event_id % 200 AS product_id, 1 AS quantity,
+       {M.format('value')} AS unit_price, CAST({M.format('value')} * 6 / 10 AS DECIMAL(18,2)) AS unit_cost,
+       {M.format('value')} AS line_total, CAST(NULL AS DECIMAL(18,2)) AS total_item_price,
+       CAST({M.format('value')} - CAST({M.format('value')} * 6 / 10 AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS line_profit
+FROM events WHERE event_type = 'purchase'""",
     "user_days": """
 SELECT session_id, user_id, MIN(event_timestamp) AS session_start, MAX(event_timestamp) AS session_end,
        MAX(step_number) AS furthest_step,

@@ -268,8 +268,20 @@ def raw_click_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_click_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases list no items."""
-    return raw_order_items(spark, sf_dir).where(F.lit(False))
+    """One item per purchase event, its product the one of the event. Product 0 is in no catalog."""
+    bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    price, cost = money("value"), (money("value") * 6 / 10).cast(MONEY)
+    return bought.select(
+        (F.col("event_id") * 100 + 1).alias("order_item_id"),
+        F.col("event_id").alias("order_id"),
+        (F.col("event_id") % 200).alias("product_id"),
+        F.lit(1).alias("quantity"),
+        price.alias("unit_price"),
+        cost.alias("unit_cost"),
+        price.alias("line_total"),
+        F.lit(None).cast(MONEY).alias("total_item_price"),
+        (price - cost).cast(MONEY).alias("line_profit"),
+    )
 
 
 def orders_world(spark: SparkSession, sf_dir: str) -> RawTables:
