@@ -176,21 +176,79 @@ def childless(parent: DataFrame, key: str, child: DataFrame, child_key: str) ->
     return parent.join(used, F.col(key) == F.col("__child"), "left_anti")
 
 
-def _result(frame: DataFrame, table: str, column: str, kind: str) -> DataFrame:
-    return frame.select(
-        F.lit(table).alias("table"),
-        F.lit(column).alias("column"),
-        F.lit(kind).alias("kind"),
-        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
-        F.lit(False).alias("errored"),
+def _entry(df: DataFrame, column: str, kind, space: int, role: int, owns: bool) -> Column:
+    """One value of a key, as text of the type ``kind``; a value that has no such form equals none that has."""
+    value = F.col(column)
+    text = value.cast("string")
+    if df.schema[column].dataType != kind:
+        text = F.coalesce(value.try_cast(kind).cast("string"), F.concat(F.lit("not a key: "), text))
+    return F.struct(
+        F.lit(space).alias("space"), F.lit(role).alias("role"), F.lit(owns).alias("owns"), text.alias("value")
     )
 
 
+def key_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """One row with f0, f1, ..: the failures of each unique or relationships assertion. One scan per table.
+
+    A table's key columns are stacked into rows of (key space, role, value) and counted before the shuffle, so a hot key
+    costs one row. A key space is one parent column; the values that its own table or its children hold meet there.
+    Unique: values held more than once. Relationships: child rows whose value the parent does not hold. Nulls pass.
+    """
+    spaces: dict[tuple[str, str], int] = {}
+    entries: dict[str, list[Column]] = {}
+    owned = set()
+
+    def enter(table: str, column: str, key: tuple[str, str], role: int, owns: bool) -> None:
+        space = spaces.setdefault(key, len(spaces))
+        kind = tables[key[0]].schema[key[1]].dataType
+        entries.setdefault(table, []).append(_entry(tables[table], column, kind, space, role, owns))
+        if owns:
+            owned.add(key)
+
+    unique = [i for i, c in enumerate(checks) if c.kind == "unique"]
+    for i in unique:
+        enter(checks[i].table, checks[i].column, (checks[i].table, checks[i].column), i, True)
+    for i, check in enumerate(checks):
+        if check.kind == "relationships":
+            enter(check.table, check.column, check.parent, i, False)
+            if check.parent not in owned:
+                enter(*check.parent, check.parent, -1, True)
+    stacked = None
+    for table, columns in entries.items():
+        rows = tables[table].select(F.explode(F.array(*columns)).alias("e")).select("e.*").where("value IS NOT NULL")
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    counted = stacked.groupBy("space", "value", "role", "owns").agg(F.count(F.lit(1)).alias("n"))
+    met = counted.groupBy("space", "value").agg(
+        F.max("owns").alias("known"), F.collect_list(F.struct("role", "n")).alias("held")
+    )
+    role, n = F.col("held.role"), F.col("held.n")
+    failed = F.when(role.isin(unique), (n > 1).cast("bigint")).when(~F.col("known"), n).otherwise(0)
+    single = met.select("known", F.explode("held").alias("held")).select(role.alias("role"), failed.alias("failed"))
+    return single.agg(
+        *(F.coalesce(F.sum(F.when(F.col("role") == i, F.col("failed"))), F.lit(0)).alias(f"f{i}") for i in range(len(checks)))
+    )
+
+
+def _named(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per assertion from one row with f0, f1, .."""
+    named = [
+        F.struct(
+            F.lit(c.table).alias("table"),
+            F.lit(c.column).alias("column"),
+            F.lit(c.kind).alias("kind"),
+            F.col(f"f{i}").cast("bigint").alias("failures"),
+            F.lit(False).alias("errored"),
+        )
+        for i, c in enumerate(checks)
+    ]
+    return counts.select(F.explode(F.array(*named)).alias("r")).select("r.*")
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per assertion: failures and whether it passed.
 
-    All row conditions of a table share one scan. A missing table or column counts as one
-    failure, as an exception does.
+    All row conditions of a table share one scan, all its keys another. A missing table or column counts
+    as one failure, as an exception does.
     """
     spark = next(iter(tables.values())).sparkSession
     parts, broken = [], []
@@ -203,29 +261,13 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
         else:
             broken.append((check.table, check.column, check.kind, 1, True))
     for table, group in by_table.items():
-        df = tables[table]
         rows = [c for c in group if c.kind in ("not_null", "accepted_values", "check")]
         if rows:
-            counts = df.agg(*[F.count_if(_row_failure(c)).alias(f"f{i}") for i, c in enumerate(rows)])
-            named = [
-                F.struct(
-                    F.lit(table).alias("table"),
-                    F.lit(c.column).alias("column"),
-                    F.lit(c.kind).alias("kind"),
-                    F.col(f"f{i}").alias("failures"),
-                    F.lit(False).alias("errored"),
-                )
-                for i, c in enumerate(rows)
-            ]
-            parts.append(counts.select(F.explode(F.array(*named)).alias("r")).select("r.*"))
-        for c in group:
-            if c.kind == "unique":
-                found = duplicated_values(df, c.column).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(_result(found, table, c.column, c.kind))
-            elif c.kind == "relationships":
-                parent, key = c.parent
-                found = orphans(df, c.column, tables[parent], key).agg(F.sum("rows").alias("failures"))
-                parts.append(_result(found, table, c.column, c.kind))
+            counts = tables[table].agg(*[F.count_if(_row_failure(c)).alias(f"f{i}") for i, c in enumerate(rows)])
+            parts.append(_named(counts, rows))
+    keys = [c for group in by_table.values() for c in group if c.kind in ("unique", "relationships")]
+    if keys:
+        parts.append(_named(key_failures(tables, keys), keys))
     if broken:
         parts.append(spark.createDataFrame(broken, RESULT.replace(", passed boolean", "")))
     result = parts[0]
@@ -279,13 +321,9 @@ FOREIGN_KEYS = (
 
 def orphan_report(tables: Mapping[str, DataFrame], keys=FOREIGN_KEYS) -> DataFrame:
     """Orphan rows per foreign key, and in total."""
-    result = None
-    for child, column, parent, target in keys:
-        found = orphans(tables[child], column, tables[parent], target).agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows")
-        )
-        row = found.select(F.lit(f"{child}.{column}").alias("foreign_key"), "orphan_rows")
-        result = row if result is None else result.unionByName(row)
+    checks = [Check(child, column, "relationships", parent=(parent, target)) for child, column, parent, target in keys]
+    found = _named(key_failures(tables, checks), checks)
+    result = found.select(F.concat_ws(".", "table", "column").alias("foreign_key"), F.col("failures").alias("orphan_rows"))
     summed = result.rollup("foreign_key").agg(F.sum("orphan_rows").alias("orphan_rows"))
     return summed.select(F.coalesce("foreign_key", F.lit("total")).alias("foreign_key"), "orphan_rows")
 
