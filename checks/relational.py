@@ -245,7 +245,7 @@ def order_sequence(spark, sf_dir):
 
 @query("win_2_hot_user_sequence", _SEQUENCE)
 def hot_sequence(spark, sf_dir):
-    """The same with every user treated as hot: slots per day, carried over between slots."""
+    """The same with every user treated as hot: each row a part of its own, carried over between parts."""
     numbered = facts.sequenced_orders(shop(spark, sf_dir).stg_orders, hot_rows=0)
     return numbered.select("order_id", "user_id", "user_order_sequence", "prior_order_timestamp")
 
@@ -256,7 +256,7 @@ _RUNNING = f"SELECT order_id, user_id, {dbl('sum(total_amount) OVER (PARTITION B
 def _running(spark, sf_dir, hot_rows):
     orders = shop(spark, sf_dir).stg_orders.select("order_id", "user_id", "order_timestamp", "total_amount")
     rows = sequence_rows(
-        orders, "user_id", ["order_timestamp", "order_id"], F.to_date("order_timestamp"), running={"total_amount": "spent_so_far"}, hot_rows=hot_rows
+        orders, "user_id", ["order_timestamp", "order_id"], running={"total_amount": "spent_so_far"}, hot_rows=hot_rows
     )
     return rows.select("order_id", "user_id", "spent_so_far")
 

@@ -81,7 +81,6 @@ def sequenced_orders(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         orders,
         key="user_id",
         order=["order_timestamp", "order_id"],
-        slot=F.to_date("order_timestamp"),
         sequence="user_order_sequence",
         previous={"order_timestamp": "prior_order_timestamp"},
         hot_rows=hot_rows,

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from merchlens.session import work_dir
+
 # Fixed values.
 HOT_ROWS = 1_000_000
+DRAWN = 50  # sampled rows per part of a hot key
+STRIDE = 32  # bounds are searched in two steps of about this size
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -31,70 +35,117 @@ def mark_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return marked.withColumn("__is_hot", F.col("__rows").isNotNull()).drop("__hot")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A small table in the shared folder: the same for every plan that reads it, also after a lost executor."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hot_bounds(df: DataFrame, key: str, order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Where each hot key's rows are cut along ``order``: (__hot, bounds, coarse), or None without a hot key.
+
+    A key is cut into as many parts as it holds ``hot_rows`` rows, at the quantiles of a sample of some ``DRAWN`` rows
+    per part. The sample follows the hash of the order columns. It decides sizes only, never results.
+    """
+    hot = _written(hot_keys(df, [key], hot_rows), "hot-keys")
+    if hot.isEmpty():
+        return None
+    parts = F.ceil(F.col("__rows") / max(hot_rows, 1))
+    rows = mark_hot(df.select(key, *(c for c in order if c != key)), hot, key).where("__is_hot")
+    dice = F.pmod(F.xxhash64(*order), F.lit(1 << 30)) / (1 << 30)
+    drawn = rows.where(dice * F.col("__rows") < DRAWN * parts)
+    ordered = F.array_sort(F.collect_list(F.struct(*order)))
+    sampled = drawn.groupBy(F.col(key).alias("__hot")).agg(ordered.alias("drawn"), F.max(parts).alias("parts"))
+    at = F.sequence(F.lit(1), F.greatest(F.col("parts") - 1, F.lit(1)))
+    size = F.size("drawn")
+    picks = F.transform(at, lambda i: F.get("drawn", F.floor(i * size / F.col("parts")).cast("int")))
+    bounds = sampled.select("__hot", F.array_distinct(picks).alias("bounds"))
+    coarse = F.filter("bounds", lambda x, i: i % STRIDE == STRIDE - 1)
+    return _written(bounds.select("*", coarse.alias("coarse")), "hot-bounds")
+
+
+def place_rows(df: DataFrame, key: str, order: Sequence[str], bounds: DataFrame) -> DataFrame:
+    """``df`` plus ``__part``: which part of its key a row is in, in the order of rows; null for keys that are not hot."""
+    marked = df.join(F.broadcast(bounds), F.col(key).eqNullSafe(F.col("__hot")), "left")
+    row = F.struct(*order)
+    passed = F.size(F.filter("coarse", lambda b: b < row)) * STRIDE
+    fine = F.size(F.filter(F.slice("bounds", passed + 1, F.lit(STRIDE)), lambda b: b < row))
+    return marked.select(*df.columns, F.when(F.col("bounds").isNotNull(), passed + fine).alias("__part"))
+
+
 def sequence_rows(
     df: DataFrame,
     key: str,
     order: Sequence[str],
-    slot: Column,
     sequence: str | None = None,
     previous: dict[str, str] | None = None,
     running: dict[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``row_number``, ``lag`` and running sums per key in a total order.
+    """``row_number``, ``lag`` and running sums per key in the total order of the columns ``order``.
 
-    Hot keys are cut into slots. ``slot`` must not decrease along ``order`` (the day of
-    the leading timestamp, for instance). Each slot is windowed on its own; what earlier
-    slots contribute comes from one summary row per slot. Other keys have one slot.
+    A prefix scan: a hot key is cut into parts of about equal size along ``order`` (``hot_bounds``), however its rows
+    lie in time. Each part is windowed on its own; what earlier parts contribute comes from one summary row per part.
+    Other keys are one part, and without a hot key the plan is a plain window. The keys are counted when this is called.
 
     sequence -- name of the row number column
     previous -- {column: name of its value on the previous row}
     running  -- {column: name of its running sum, current row included}
     """
     previous, running = previous or {}, running or {}
+    bounds = hot_bounds(df, key, order, hot_rows)
     # A struct never is null, and a null field in it equals another: null keys stay one group,
     # and the join below reuses the shuffle and the sort of the window.
-    tagged = mark_hot(df, hot_keys(df, [key], hot_rows), key).withColumn(
-        "__slot", F.struct(F.col(key).alias("key"), F.when(F.col("__is_hot"), slot).alias("part"))
-    )
+    if bounds is None:
+        tagged, group = df, key
+    else:
+        tagged, group = place_rows(df, key, order, bounds), "__slot"
+        tagged = tagged.withColumn("__slot", F.struct(F.col(key).alias("key"), F.col("__part").alias("part")))
 
-    in_slot = Window.partitionBy("__slot").orderBy(*order)
+    in_slot = Window.partitionBy(group).orderBy(*order)
     so_far = in_slot.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = {"__at": F.row_number().over(in_slot)}
     columns |= {f"__prev_{c}": F.lag(c).over(in_slot) for c in previous}
     columns |= {f"__run_{c}": F.sum(c).over(so_far) for c in running}
     windowed = tagged.select("*", *[expr.alias(name) for name, expr in columns.items()])
+    skip, first = F.lit(0), F.lit(False)
+    if bounds is not None:
+        windowed = windowed.join(_carried(tagged, order, previous, running), F.col("__slot") == F.col("__before"), "left")
+        skip, first = F.coalesce("__skip", F.lit(0)), F.col("__at") == 1
+    out = [F.col(c) for c in df.columns]
+    if sequence:
+        out.append((F.col("__at") + skip).cast("bigint").alias(sequence))
+    for c, name in previous.items():
+        value = F.col(f"__prev_{c}")
+        out.append((value if bounds is None else F.when(first, F.col(f"__carry_{c}")).otherwise(value)).alias(name))
+    for c, name in running.items():
+        base = F.lit(0) if bounds is None else F.coalesce(f"__base_{c}", F.lit(0))
+        out.append((F.col(f"__run_{c}") + base).alias(name))
+    return windowed.select(*out)
 
+
+def _carried(tagged: DataFrame, order: Sequence[str], previous: dict[str, str], running: dict[str, str]) -> DataFrame:
+    """One row per part of a hot key: what the parts before it add up to, and the last row before it."""
     last = F.struct(*[F.col(c) for c in order])
     slots = (
-        tagged.where("__is_hot")
-        .groupBy(F.col("__slot").alias("__part"))
+        tagged.where(F.col("__part").isNotNull())
+        .groupBy(F.col("__slot").alias("__before"))
         .agg(
             F.count(F.lit(1)).alias("__n"),
             *[F.max_by(c, last).alias(f"__last_{c}") for c in previous],
             *[F.sum(c).alias(f"__sum_{c}") for c in running],
         )
     )
-    by_key = Window.partitionBy("__part.key").orderBy("__part.part")
-    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.select(
-        "__part",
-        F.sum("__n").over(before).alias("__skip"),
+    by_key = Window.partitionBy("__before.key").orderBy("__before.part")
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    return slots.select(
+        "__before",
+        F.sum("__n").over(earlier).alias("__skip"),
         *[F.lag(f"__last_{c}").over(by_key).alias(f"__carry_{c}") for c in previous],
-        *[F.sum(f"__sum_{c}").over(before).alias(f"__base_{c}") for c in running],
+        *[F.sum(f"__sum_{c}").over(earlier).alias(f"__base_{c}") for c in running],
     )
 
-    joined = windowed.join(slots, F.col("__slot") == F.col("__part"), "left")
-    out = [F.col(c) for c in df.columns]
-    if sequence:
-        out.append((F.col("__at") + F.coalesce("__skip", F.lit(0))).cast("bigint").alias(sequence))
-    for c, name in previous.items():
-        first = F.col("__at") == 1
-        out.append(F.when(first, F.col(f"__carry_{c}")).otherwise(F.col(f"__prev_{c}")).alias(name))
-    for c, name in running.items():
-        out.append((F.col(f"__run_{c}") + F.coalesce(f"__base_{c}", F.lit(0))).alias(name))
-    return joined.select(*out)
-
 
 def fan_out_join(
     left: DataFrame,

@@ -96,7 +96,6 @@ def session_flags(sessions: DataFrame, events: DataFrame) -> DataFrame:
         sessions.select("session_id", "user_id", "session_start"),
         key="user_id",
         order=["session_start", "session_id"],
-        slot=F.to_date("session_start"),
         sequence="session_sequence",
     )
     returning = F.col("session_sequence") > 1
@@ -120,22 +119,21 @@ def sessionise(
 ) -> DataFrame:
     """Number the sessions of each user: a new one starts after ``gap_minutes`` of silence."""
     ordered = sequence_rows(
-        events, user, [at, event], F.date_trunc("hour", F.col(at)), previous={at: "__before"}, hot_rows=hot_rows
+        events, user, [at, event], previous={at: "__earlier"}, hot_rows=hot_rows
     )
-    silent = F.col("__before").isNull() | (F.col(at) - F.col("__before") > F.make_dt_interval(mins=F.lit(gap_minutes)))
+    silent = F.col("__earlier").isNull() | (F.col(at) - F.col("__earlier") > F.make_dt_interval(mins=F.lit(gap_minutes)))
     starts = ordered.withColumn("__starts", flag(silent).cast("bigint"))
     numbered = sequence_rows(
-        starts, user, [at, event], F.date_trunc("hour", F.col(at)), running={"__starts": "session_number"}, hot_rows=hot_rows
+        starts, user, [at, event], running={"__starts": "session_number"}, hot_rows=hot_rows
     )
-    return numbered.drop("__before", "__starts")
+    return numbered.drop("__earlier", "__starts")
 
 
 def dwell_times(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Seconds since the previous event of the session, in step order."""
     order = ["step_number", "event_timestamp", "event_id"]
-    slot = F.struct(F.col("step_number"), F.date_trunc("hour", "event_timestamp"))
     ordered = sequence_rows(
-        events, "session_id", order, slot, previous={"event_timestamp": "prior_event_timestamp"}, hot_rows=hot_rows
+        events, "session_id", order, previous={"event_timestamp": "prior_event_timestamp"}, hot_rows=hot_rows
     )
     seconds = F.col("event_timestamp").cast("timestamp").cast("double") - F.col("prior_event_timestamp").cast(
         "timestamp"

@@ -153,12 +153,32 @@ def test_sequence_matches_brute_force_for_hot_and_null_keys(spark, hot_rows):
     data = [(users[i], days[i], i, i) for i in range(40)]
     df = spark.createDataFrame(data, "user string, at timestamp_ntz, id int, amount int")
     result = hotkeys.sequence_rows(
-        df, "user", ["at", "id"], F.to_date("at"), sequence="n", previous={"at": "before"}, running={"amount": "total"}, hot_rows=hot_rows
+        df, "user", ["at", "id"], sequence="n", previous={"at": "before"}, running={"amount": "total"}, hot_rows=hot_rows
     )
     got = {r.id: (r.n, r.before, r.total) for r in result.collect()}
     assert got == brute_sequence(data)
 
 
+def test_parts_of_a_hot_key_are_even_within_one_minute(spark):
+    """Nine tenths of the rows are one key's, all in one minute, most in one instant."""
+    n = 40_000
+    at = F.expr("timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, cast(if(id % 4 = 0, id % 60, 7) as decimal(18,6)))")
+    df = spark.range(n).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), at.alias("at"), "id")
+    bounds = hotkeys.hot_bounds(df, "k", ["at", "id"], hot_rows=1000)
+    placed = hotkeys.place_rows(df, "k", ["at", "id"], bounds)
+    sizes = sorted(r["count"] for r in placed.where("k = 'hot'").groupBy("__part").count().collect())
+    assert len(sizes) == 36 and sum(sizes) == 36_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert placed.where("k <> 'hot' AND __part IS NOT NULL").isEmpty()
+    got = hotkeys.sequence_rows(df, "k", ["at", "id"], sequence="n", previous={"id": "before"}, running={"id": "total"}, hot_rows=1000)
+    expected = df.selectExpr(
+        "id",
+        "row_number() over (partition by k order by at, id) n",
+        "lag(id) over (partition by k order by at, id) before",
+        "sum(id) over (partition by k order by at, id rows unbounded preceding) total",
+    )
+    assert got.select("id", "n", "before", "total").exceptAll(expected.select("id", F.col("n").cast("bigint"), "before", "total")).isEmpty()
+
+
 @pytest.mark.parametrize("hot_rows", [0, 5, 10**6])
 def test_fan_out_join_matches_plain_left_join(spark, hot_rows):
     left = spark.createDataFrame([(k, i) for i, k in enumerate(["a", "b", "c", None, "d"])], "k string, l int")
