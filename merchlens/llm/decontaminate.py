@@ -1,19 +1,23 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-The words of a test item and its pairs of neighbouring words are counted over all documents. The rarer half of an
-item's pairs (eight at least) are its seeds. Where a document has a seed, the words around it are aligned with the
-item; matches weigh by the rarity of the word, so chance agreement in common words scores little, and edited,
-shortened or reordered copies still reach a good part of the item's own score. An excerpt of a long item does not;
-so a passage also counts if an alignment that counts words, less half a word for a gap or a mismatch, reaches ``RUN``.
-Every ``INTACT`` words of an item hold a seed, so none with up to three changes is missed.
-
-The test items are held in every task, in blocks of ``BLOCK_ITEMS``: a larger benchmark takes more passes.
+The words of a test item, its pairs of neighbouring words and its pairs of words one apart are counted over all
+documents. The rarer half of an item's neighbouring pairs (eight at least) and its eight rarest pairs one apart are its
+seeds. Where a document has a seed, the words around it are aligned with the item; matches weigh by the rarity of the
+word, so chance agreement in common words scores little, and edited, shortened or reordered copies still reach a good
+part of the item's own score. An excerpt of a long item does not; so a passage also counts if an alignment that counts
+words, less half a word for a gap or a mismatch, reaches ``RUN``. Every ``INTACT`` words of an item hold a seed, so none
+with up to three changes is missed. A part of an item that any text could hold by chance, such as two common words, is
+no copy: its score must also reach ``EVIDENCE`` more than the logarithm of the number of documents.
+
+The test items are held in every task, in blocks of ``BLOCK_ITEMS`` or some ``BLOCK_BYTES``: a larger benchmark takes
+more passes. One item must fit in a task.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +26,13 @@ from pyspark.sql import functions as F
 
 from merchlens.llm.common import LOWER_BYTES, PIECE
 
-BLOCK_ITEMS = 20_000
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 1 << 24
 LEAST_SEEDS = 8
 INTACT = 4  # words of an item in a row that hold a seed
-SCORE = 0.5  # of the item's score against itself
+SCORE = 0.4  # of the item's score against itself
+EVIDENCE = 8.0  # what a score must be at least beyond the logarithm of the number of documents
 PENALTY = 0.1  # of the item's mean word weight, for a gap or a mismatch
+ROWS_HELD = 64  # items whose lookup rows a task keeps
 RUN, DEAR = 13, 0.5  # words that are a copy however long the item is, and what a gap or a mismatch costs of them
 
 #: Scripts without spaces between words: each character is a word.
@@ -46,13 +52,14 @@ def numbered(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
     while start < len(data):
         end = len(data) if start + PIECE >= len(data) else data.find(b" ", start + PIECE)
         end = len(data) if end < 0 else end
-        parts.append(np.array([get(w, 0) for w in data[start:end].split()], dtype=np.int32))
+        words = data[start:end].split()
+        parts.append(np.fromiter(map(get, words, repeat(0)), np.int32, len(words)))
         start = end
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
 class Items:
-    """A block of test items with their words and neighbouring pairs as numbers."""
+    """A block of test items with their words and pairs (neighbours, and words one apart) as numbers."""
 
     def __init__(self, rows: list[tuple[int, str | None]]) -> None:
         self.vocabulary: dict[bytes, int] = {}
@@ -64,22 +71,27 @@ class Items:
                 np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in own], dtype=np.int64)
             )
         self.size = len(self.vocabulary) + 1
-        pairs = [self.pairs(w) for w in self.words]
-        self.codes = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-        self.of_item = [np.searchsorted(self.codes, p) for p in pairs]
+        near = [self.pairs(w, 1) for w in self.words]
+        apart = [self.pairs(w, 2) for w in self.words]
+        self.codes = np.unique(np.concatenate(near + apart)) if near else np.zeros(0, np.int64)
+        self.of_item = [np.searchsorted(self.codes, p) for p in near]
+        self.apart_of_item = [np.searchsorted(self.codes, p) for p in apart]
 
-    def pairs(self, words: np.ndarray) -> np.ndarray:
-        """Code of each neighbouring pair, -1 if one of the words is unknown."""
-        a, b = words[:-1].astype(np.int64), words[1:].astype(np.int64)
-        return np.where((a > 0) & (b > 0), a * self.size + b, -1)
+    def pairs(self, words: np.ndarray, step: int) -> np.ndarray:
+        """Code of each word and the one ``step`` behind it; words of no item have the number 0."""
+        return (words[:-step].astype(np.int64) * self.size + words[step:]) * 2 + (step - 1)
 
     def places(self, words: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the words' pairs that are among the sorted ``codes``, and which code each is."""
-        pairs = self.pairs(words)
-        at = np.flatnonzero(pairs >= 0)
-        found = np.searchsorted(codes, pairs[at])
-        hit = (found < len(codes)) & (codes[np.minimum(found, len(codes) - 1)] == pairs[at]) if len(codes) else at < 0
-        return at[hit], found[hit]
+        places, found = [], []
+        for step in (1, 2):
+            at = np.flatnonzero((words[:-step] > 0) & (words[step:] > 0))
+            pairs = self.pairs(words, step)[at]
+            where = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
+            hit = codes[where] == pairs if len(codes) else at < 0
+            places.append(at[hit])
+            found.append(where[hit])
+        return np.concatenate(places), np.concatenate(found)
 
 
 def frequencies(docs: DataFrame, items: Items) -> tuple[int, np.ndarray, np.ndarray]:
@@ -125,7 +137,8 @@ def align(words: np.ndarray, item: np.ndarray, weight: np.ndarray, penalty: floa
 
 def may_hold(inside: np.ndarray) -> bool:
     """Whether an alignment by words could reach ``RUN``; ``inside``: which of the text's words are the item's at all."""
-    total = np.concatenate([[0.0], np.cumsum(np.where(inside, 1.0, -DEAR))])
+    total = np.zeros(len(inside) + 1)
+    np.cumsum((1 + DEAR) * inside - DEAR, out=total[1:])
     return bool((total - np.minimum.accumulate(total)).max() >= RUN)
 
 
@@ -138,14 +151,18 @@ class Matcher:
         self.weight[0] = 0.0
         self.one = np.ones(len(self.weight))
         self.total = [float(self.weight[w].sum()) for w in items.words]
+        self.least = float(np.log(documents + 1)) + EVIDENCE
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         seeds: list[tuple[int, int, int]] = []
-        for number, own in enumerate(items.of_item):
+        for number, (own, apart) in enumerate(zip(items.of_item, items.apart_of_item, strict=True)):
             order = np.argsort(pairs[own], kind="stable")[: max(LEAST_SEEDS, -(-len(own) // 2))]
             chosen = set(order.tolist())
             for at in range(len(own) - INTACT + 2):  # words have one pair less
                 if chosen.isdisjoint(range(at, at + INTACT - 1)):
                     chosen.add(at + int(np.argmin(pairs[own[at : at + INTACT - 1]])))
             seeds += [(int(own[at]), number, at) for at in sorted(chosen)]
+            rare = np.argsort(pairs[apart], kind="stable")[:LEAST_SEEDS]
+            seeds += [(int(apart[at]), number, int(at)) for at in sorted(rare.tolist())]
         seeds.sort()
         table = np.array(seeds, dtype=np.int64).reshape(len(seeds), 3)
         used, self.first = np.unique(table[:, 0], return_index=True)
@@ -169,32 +186,48 @@ class Matcher:
                 own.append(begin)
         return out
 
+    def row(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each word of the vocabulary its place among the item's different words, or -1; and these words' weights."""
+        if number not in self.rows:
+            if len(self.rows) >= ROWS_HELD:
+                self.rows.clear()
+            different, times = np.unique(self.items.words[number], return_counts=True)
+            place = np.full(len(self.weight), -1, np.int32)
+            place[different] = np.arange(len(different))
+            self.rows[number] = place, self.weight[different] * times
+        return self.rows[number]
+
     def matches(self, text: str | None) -> Iterator[tuple[int, float, int]]:
         """(item id, score, position behind the passage) of the best passage of each leaked item."""
         numbers = numbered(text, self.items.vocabulary)
         for number, starts in self.windows(numbers).items():
             words, total = self.items.words[number], self.total[number]
+            place, weights = self.row(number)
             wide, best, end, copied = len(words), 0.0, 0, False
+            enough = max(self.score * total, self.least)
             for start in starts:
                 low = max(0, start - wide // 2)
                 part = numbers[low : start + 2 * wide]
-                dense = may_hold(np.isin(part, words))
+                own = place[part]
+                inside = own >= 0
+                dense = not copied and np.count_nonzero(inside) >= RUN and may_hold(inside)
                 # No alignment can score more than the item's words that occur here at all.
-                if not dense and self.weight[words[np.isin(words, part)]].sum() < self.score * total or not wide:
+                if not dense and weights[np.bincount(own[inside], minlength=len(weights)) > 0].sum() < enough:
                     continue
                 value, last = align(part, words, self.weight, PENALTY * total / wide)
                 if value > best:
                     best, end = value, low + last
-                if dense and not copied and value < self.score * total:
+                if dense and value < enough:
                     copied = align(part, words, self.one, DEAR)[0] >= RUN
-            if total and (copied or best >= self.score * total):
+            if copied or best >= enough:
                 yield self.items.ids[number], round(best / total, 6), end
 
 
 def matchers(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> Iterator[Matcher]:
     """One matcher for each block of test items."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text IS NOT NULL")
-    blocks = -(-items.count() // BLOCK_ITEMS)
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes")).first()
+    blocks = max(-(-size["n"] // BLOCK_ITEMS), -(-(size["bytes"] or 0) // BLOCK_BYTES))
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=repr)
@@ -207,6 +240,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> DataFr
 
     score is the share of the item's weight that the best passage reaches (1: word for word); end_word counts the
     document's words up to the end of that passage. Words are compared in ASCII lower case without ASCII punctuation.
+    Passages whose words any document could hold by chance, however much of a short item they are, are not reported.
     A document also holds a copy if 13 words of the item stand in it in a row, or more with a few changes, however small
     a part of the item that is. In scripts without spaces each character is a word. Items of one word and null or empty
     texts match nothing. Repeated rows are judged like others; equal items each
@@ -237,13 +271,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> DataFr
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> DataFrame:
     """The rows of ``docs`` that hold no copy of a test item, with all their columns; no shuffle."""
-    out = docs
+    # The row travels as one struct: its columns may have any name.
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     for matcher in matchers(docs, benchmark, score):
 
         def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [next(matcher.matches(t.as_py()), None) is None for t in batch.column("text")]
+                clean = [next(matcher.matches(t.as_py()), None) is None for t in batch.column(0).field("text")]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        out = out.mapInArrow(run, docs.schema)
-    return out
+        out = out.mapInArrow(run, out.schema)
+    return out.select("row.*")
