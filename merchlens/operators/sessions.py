@@ -72,6 +72,22 @@ def session_funnel(events: DataFrame, stages: Sequence[Stage] = STAGES) -> DataF
         *[F.min(F.when(in_stage[s], F.col("event_timestamp"))).alias(s.first_at) for s in stages],
         F.max("cart_value").alias("final_cart_value"),
     )
+    return _with_flags(grouped, stages)
+
+
+def merge_funnels(partials: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
+    """Session funnels of parts of the events put together; equal to ``session_funnel`` over all of them."""
+    grouped = partials.groupBy("session_id", "user_id").agg(
+        F.sum("total_events_count").alias("total_events_count"),
+        *[F.sum(f"{s.name}_events").alias(f"{s.name}_events") for s in stages],
+        F.max("furthest_step_reached").alias("furthest_step_reached"),
+        *[F.min(s.first_at).alias(s.first_at) for s in stages],
+        F.max("final_cart_value").alias("final_cart_value"),
+    )
+    return _with_flags(grouped, stages)
+
+
+def _with_flags(grouped: DataFrame, stages: Sequence[Stage]) -> DataFrame:
     reached = {s: F.col(f"{s.name}_events") > 0 for s in stages}
     step = F.col("furthest_step_reached")
     return grouped.select(

@@ -26,12 +26,20 @@ def committed(spark: SparkSession, path: str) -> bool:
     return system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
 
 
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no folder."""
+    system, location = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(location)] if system.exists(location) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, location = _file_system(spark, path)
+    system.delete(location, True)
+
+
 def has_partitions(spark: SparkSession, path: str) -> bool:
     """Whether any partition was committed. (A dynamic overwrite leaves no marker at the top.)"""
-    system, location = _file_system(spark, path)
-    return system.exists(location) and any(
-        "=" in status.getPath().getName() for status in system.listStatus(location)
-    )
+    return any("=" in name for name in entries(spark, path))
 
 
 def latest_rows(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from merchlens.operators.sessions import STAGES, Stage, session_funnel
+from merchlens.operators.sessions import STAGES, Stage, merge_funnels, session_funnel
 from merchlens.operators.staging import clean_events
 from merchlens.sources.incremental import merge_into
+from merchlens.streaming.runs import Runs
 
 # Fixed values.
 BACKFILL, INSERT = "BACKFILL", "INSERT"
 CART_TYPE = "decimal(10,2)"
 KEY, PARTITION = ["event_id"], "event_date"
-BUCKETS = 16
+GAP = "30 minutes"
 
 
 def change_stream(
@@ -58,12 +60,7 @@ def upsert_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
             batch.sparkSession, path, stamped(inserts(batch), INSERT), KEY, PARTITION, order=["event_timestamp", "event_type"]
         )
 
-    return (
-        stream.writeStream.foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _available(stream, upsert, checkpoint)
 
 
 def finish(query: StreamingQuery) -> int:
@@ -83,83 +80,87 @@ def running_funnel(stream: DataFrame, stages: Sequence[Stage] = STAGES) -> DataF
     """Session funnel as a stateful aggregate: counts, firsts and maxima only, so each batch adds to the state.
 
     No watermark and no time bucket: rows count whenever they come, and a session may last over midnight. The state
-    keeps one small row per session for good; with many sessions use the RocksDB state store.
+    keeps one small row per session for good; ``funnel_stream`` needs no state.
     """
     # State needs a timestamp with time zone; the session runs in UTC.
     return session_funnel(stream.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")), stages)
 
 
-def funnel_stream(funnel: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
-    """Keep the table at ``path`` equal to the running funnel: changed sessions are merged.
+def funnel_runs(spark: SparkSession, path: str, stages: Sequence[Stage] = STAGES) -> Runs:
+    return Runs(spark, path, partial(merge_funnels, stages=stages), ["session_id", "user_id"])
+
 
-    A session's bucket follows from its key, so a batch reads and rewrites the buckets of its sessions only.
+def funnel_stream(stream: DataFrame, path: str, checkpoint: str, stages: Sequence[Stage] = STAGES) -> StreamingQuery:
+    """Keep the session funnel of an append-only stream of staged events as runs below ``path``.
+
+    Each batch writes the funnel of its own events: counts, firsts and maxima, which ``read_funnel`` merges. Rows count
+    whenever they come; nothing that is stored is read but for compaction.
     """
 
-    def upsert(batch: DataFrame, _: int) -> None:
-        firsts = [c for c, kind in batch.dtypes if kind == "timestamp"]
-        rows = batch.withColumns({c: F.col(c).cast("timestamp_ntz") for c in firsts})
-        rows = rows.withColumn("session_bucket", _bucket("session_id", buckets))
-        merge_into(
-            batch.sparkSession,
-            path,
-            rows,
-            ["session_id", "user_id"],
-            "session_bucket",
-            ["total_events_count"],
-            fixed_partition=True,
-        )
+    def add(batch: DataFrame, number: int) -> None:
+        funnel_runs(batch.sparkSession, path, stages).add(number, session_funnel(batch, stages))
 
-    return (
-        funnel.writeStream.outputMode("update")
-        .foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _available(stream, add, checkpoint)
 
 
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+def read_funnel(spark: SparkSession, path: str, stages: Sequence[Stage] = STAGES) -> DataFrame:
+    """One row per session and user over all batches so far."""
+    return funnel_runs(spark, path, stages).read()
 
 
-def session_windows(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Sessions by silence, one row per user and session."""
-    spans = events.groupBy("user_id", F.session_window("event_timestamp", gap).alias("span")).agg(
-        F.count(F.lit(1)).alias("events"), F.max("event_timestamp").alias("session_end")
+def _available(stream: DataFrame, batch, checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def union_spans(spans: DataFrame, gap: str = GAP) -> DataFrame:
+    """Spans (user_id, session_start, session_end, events) joined where no more than ``gap`` lies between them.
+
+    The order of the spans and how often this is applied to parts of them do not matter. Spans of a user are at
+    least ``gap`` apart once joined, so even a user with most of the events has few rows a day here.
+    """
+    in_order = Window.partitionBy("user_id").orderBy("session_start", "session_end", "events")
+    before = F.max("session_end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.when(before.isNull() | (F.col("session_start") > before + F.expr(f"INTERVAL {gap}")), 1).otherwise(0)
+    numbered = spans.select("user_id", "session_start", "session_end", "events", first.alias("first")).withColumn(
+        "nth", F.sum("first").over(in_order)
     )
-    return spans.select(
-        "user_id",
-        F.col("span.start").cast("timestamp_ntz").alias("session_start"),
-        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
-        "events",
+    joined = numbered.groupBy("user_id", "nth").agg(
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("events").alias("events")
     )
+    return joined.drop("nth")
 
 
-def session_stream(
-    stream: DataFrame, folder: str, checkpoint: str, gap: str = "30 minutes", buckets: int = BUCKETS
-) -> StreamingQuery:
-    """Keep ``folder``/sessions equal to the session windows of all events so far, open sessions included.
+def session_windows(events: DataFrame, gap: str = GAP) -> DataFrame:
+    """Sessions by silence, one row per user and session; a new one starts after more than ``gap``.
 
-    Events are upserted by id into ``folder``/events, by bucket of their user; the sessions of the touched buckets are
-    then made anew, so late rows may lengthen or join sessions. A replayed batch leaves the same tables.
+    Events of one user in one slot of length ``gap`` belong together, so each slot shrinks to one row before the
+    shuffle, however many events it holds.
     """
+    slots = events.groupBy("user_id", F.window("event_timestamp", gap).alias("slot")).agg(
+        F.min("event_timestamp").alias("session_start"),
+        F.max("event_timestamp").alias("session_end"),
+        F.count(F.lit(1)).alias("events"),
+    )
+    return union_spans(slots.drop("slot"), gap)
 
-    def upsert(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select("event_id", "user_id", "event_timestamp").withColumn("user_bucket", _bucket("user_id", buckets))
-        merge_into(
-            spark, f"{folder}/events", rows, ["event_id"], "user_bucket", ["event_timestamp", "user_id"], fixed_partition=True
-        )
-        touched = [row[0] for row in rows.select("user_bucket").distinct().collect()]  # at most ``buckets``
-        stored = spark.read.schema(rows.schema).parquet(f"{folder}/events").where(F.col("user_bucket").isin(touched))
-        made = session_windows(stored, gap).withColumn("user_bucket", _bucket("user_id", buckets))
-        made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("user_bucket").parquet(
-            f"{folder}/sessions"
-        )
 
-    return (
-        stream.writeStream.foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def session_runs(spark: SparkSession, path: str, gap: str = GAP) -> Runs:
+    return Runs(spark, path, partial(union_spans, gap=gap), ["user_id", "session_start"])
+
+
+def session_stream(stream: DataFrame, path: str, checkpoint: str, gap: str = GAP) -> StreamingQuery:
+    """Keep the session windows of an append-only stream of staged events as runs below ``path``, open sessions included.
+
+    Each batch writes the spans of its own events; ``read_sessions`` joins them, so late rows may lengthen or bridge
+    sessions of any age. An event that is sent twice counts twice: take repeated ids out before, with ``ledger``.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        session_runs(batch.sparkSession, path, gap).add(number, session_windows(batch, gap))
+
+    return _available(stream, add, checkpoint)
+
+
+def read_sessions(spark: SparkSession, path: str, gap: str = GAP) -> DataFrame:
+    """One row per user and session over all batches so far."""
+    return session_runs(spark, path, gap).read()
