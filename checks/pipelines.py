@@ -243,7 +243,34 @@ def schema_sync(spark, sf_dir):
     rest = orders.where(F.col("status") != "completed").select(*kept, "payment_method")
     incremental.merge_into(spark, path, done, ["order_id"], "order_month")
     incremental.merge_into(spark, path, rest, ["order_id"], "order_month")
-    return spark.read.option("mergeSchema", True).parquet(path).drop("order_month")
+    return incremental.stored(spark, path).drop("order_month")
+
+
+@query(
+    "inc_5_partitions_searched",
+    """
+WITH m AS (SELECT date_trunc('month', order_date) AS month, min(order_id) AS low, max(order_id) AS high FROM stg_orders GROUP BY 1),
+d AS (SELECT order_id FROM stg_orders WHERE order_date >= (SELECT max(order_date) FROM stg_orders) - INTERVAL 2 DAY)
+SELECT count(*) AS partitions, count(*) FILTER (low <= (SELECT max(order_id) FROM d) AND high >= (SELECT min(order_id) FROM d)) AS within_hull,
+       (SELECT count(*) FROM m WHERE EXISTS (SELECT 1 FROM d WHERE order_id BETWEEN low AND high)) AS searched FROM m""",
+)
+def partitions_searched(spark, sf_dir):
+    """How many monthly partitions a merge of the last three days' orders looks for older rows in."""
+    orders = shop(spark, sf_dir).stg_orders.select("order_id", "order_date", F.trunc("order_date", "MM").alias("order_month"))
+    path = work_dir(spark, "ranges")
+    incremental.merge_into(spark, path, orders, ["order_id"], "order_month")
+    last = orders.agg(F.max("order_date")).first()[0]
+    delta = orders.where(F.col("order_date") >= F.lit(last - timedelta(days=2)))
+    ranges = incremental.KeyRanges(spark, path, ["order_id"], orders.schema["order_month"])
+    ranges.SLICES = 100_000  # a slice per key: no range is met by chance
+    hull = delta.agg(F.min("order_id").alias("least"), F.max("order_id").alias("most"))
+    within = ranges.read().join(hull, (F.col("low.order_id") <= F.col("most")) & (F.col("high.order_id") >= F.col("least")))
+    return ranges.read().agg(F.count(F.lit(1)).alias("partitions")).withColumns(
+        {
+            "within_hull": within.agg(F.count(F.lit(1))).scalar(),
+            "searched": F.lit(len(ranges.meeting(delta))).cast("bigint"),
+        }
+    )
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
@@ -42,14 +43,20 @@ def has_partitions(spark: SparkSession, path: str) -> bool:
     return any("=" in name for name in entries(spark, path))
 
 
+def _unordered(kind) -> bool:
+    """Whether values of a type have no order: maps, also inside others."""
+    return "map<" in kind.simpleString()
+
+
 def latest_rows(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the last in ``order``.
+    """One row per key: the last in ``order``, among equals the largest by its other columns.
 
     A combining aggregate instead of a window, so a key repeated any number of times in a
     batch is reduced before the shuffle.
     """
     rest = [c for c in batch.columns if c not in key]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    ties = [c for c in rest if c not in order and not _unordered(batch.schema[c].dataType)]
+    newest = F.max_by(F.struct(*rest), F.struct(*order, *ties)).alias("__row")
     grouped = batch.groupBy(*key).agg(newest)
     return grouped.select(*key, "__row.*").select(*batch.columns)
 
@@ -99,8 +106,12 @@ def merge_into(
     same batch twice leaves the same table. Of a key's rows in the delta the last in ``order`` counts; without an
     order, the largest by its other columns.
 
+    Beside the table lie its schema and, per partition, the range its keys are in. Older rows are looked for only in
+    partitions whose range meets that of a slice of the delta's keys, and no file is opened for its schema. Tables
+    without these notes are read whole once and then have them.
+
     ``fixed_partition`` states that a key never changes its partition (an order keeps its
-    date); then only the partitions of the delta are read, not the keys of the whole table.
+    date); then only the partitions of the delta are read, not keys of others.
     """
     fresh = latest_rows(delta, key, order or [c for c in delta.columns if c not in key])
     # Read several times below; a lost executor's part is computed again.
@@ -120,10 +131,16 @@ def _merge_fresh(
     cluster: Sequence[str],
     fixed_partition: bool,
 ) -> None:
-    if not has_partitions(spark, path):
+    known = has_partitions(spark, path)
+    schema = _stored_schema(spark, path, fresh, partition) if known else fresh.schema
+    ranges = KeyRanges(spark, path, key, fresh.schema[partition])
+    # Notes come first and only ever grow: should the write fail, they say too much, never too little.
+    ranges.widen(fresh, spark.read.schema(schema).parquet(path) if known and not ranges.stored() else None)
+    _keep_schema(spark, path, merged_schema(schema, fresh.schema))
+    if not known:
         _write(fresh, path, partition, cluster)
         return
-    target = _target(spark, path, fresh, partition)
+    target = spark.read.schema(schema).parquet(path)
     arriving = _values(fresh, partition)
     if not arriving:
         return
@@ -131,7 +148,8 @@ def _merge_fresh(
     if not fixed_partition:
         # The folder comes from the files themselves: null and escaped values have names of their own.
         folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("__folder")
-        older = target.select(*key, F.col(partition).alias("__from"), folder).join(fresh.select(*key), list(key), "left_semi")
+        holding = target.where(_one_of(partition, ranges.meeting(fresh)))
+        older = holding.select(*key, F.col(partition).alias("__from"), folder).join(fresh.select(*key), list(key), "left_semi")
         found = older.select("__from", "__folder").distinct().collect()  # partitions, never keys
         leaving = {row[0]: row[1] for row in found if row[0] not in arriving}
     touched = target.where(_one_of(partition, arriving | set(leaving)))
@@ -144,11 +162,74 @@ def _merge_fresh(
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _target(spark: SparkSession, path: str, fresh: DataFrame, partition: str) -> DataFrame:
-    """The stored table; its partition column has the type of the delta, not one guessed from folder names."""
-    schema = spark.read.option("mergeSchema", True).parquet(path).schema
-    kinds = [fresh.schema[partition] if field.name == partition else field for field in schema]
-    return spark.read.schema(StructType(kinds)).parquet(path)
+class KeyRanges:
+    """Per partition of a table the least and the greatest key it may hold, in a small table beside it.
+
+    One row per partition. A range only grows, so a failed write leaves it too wide at worst.
+    """
+
+    SLICES = 200  # slices of a delta's keys, each with a range of its own
+
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], partition) -> None:
+        self.spark, self.path, self.key, self.partition = spark, f"{path.rstrip('/')}/_key_ranges", list(key), partition
+
+    def stored(self) -> bool:
+        return committed(self.spark, self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def _of(self, rows: DataFrame) -> DataFrame:
+        place = F.struct(*self.key)
+        return rows.groupBy(F.col(self.partition.name).alias("part")).agg(F.min(place).alias("low"), F.max(place).alias("high"))
+
+    def widen(self, fresh: DataFrame, whole: DataFrame | None) -> None:
+        """Take in the keys of ``fresh``, and of the whole table where nothing is known about it yet."""
+        ranges = self._of(fresh) if whole is None else self._of(fresh).unionByName(self._of(whole))
+        if self.stored():
+            ranges = ranges.unionByName(self.read())
+        rows = ranges.groupBy("part").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        # One row per partition: through the driver, as it overwrites what it was read from.
+        held = self.spark.createDataFrame(rows.collect(), rows.schema)
+        held.coalesce(1).write.mode("overwrite").parquet(self.path)
+
+    def meeting(self, fresh: DataFrame) -> set:
+        """The partitions that may hold one of the keys of ``fresh``."""
+        keys = fresh.select(*self.key).repartitionByRange(self.SLICES, *self.key)
+        place = F.struct(*self.key)
+        slices = keys.groupBy(F.spark_partition_id().alias("slice")).agg(F.min(place).alias("least"), F.max(place).alias("most"))
+        # SLICES rows against one row per partition.
+        met = self.read().join(F.broadcast(slices), (F.col("low") <= F.col("most")) & (F.col("least") <= F.col("high")), "left_semi")
+        return {row[0] for row in met.select("part").collect()}
+
+
+def merged_schema(old: StructType, new: StructType) -> StructType:
+    """The old columns, then those only the new one has."""
+    return StructType([*old, *(field for field in new if field.name not in old.names)])
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    place = f"{path.rstrip('/')}/_schema"
+    if not committed(spark, place) or schema != StructType.fromJson(json.loads(spark.read.text(place).first()[0])):
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(place)
+
+
+def _stored_schema(spark: SparkSession, path: str, fresh: DataFrame, partition: str) -> StructType:
+    """The table's schema; its partition column has the type of the delta, not one guessed from folder names."""
+    place = f"{path.rstrip('/')}/_schema"
+    if committed(spark, place):
+        schema = StructType.fromJson(json.loads(spark.read.text(place).first()[0]))
+    else:
+        schema = spark.read.option("mergeSchema", True).parquet(path).schema
+    return StructType([fresh.schema[partition] if field.name == partition else field for field in schema])
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The table with all its columns, without opening a file for them."""
+    place = f"{path.rstrip('/')}/_schema"
+    if not committed(spark, place):
+        return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(StructType.fromJson(json.loads(spark.read.text(place).first()[0]))).parquet(path)
 
 
 def _values(df: DataFrame, column: str) -> set:
@@ -186,9 +267,9 @@ def incremental_build(
     """
     floor = None
     if has_partitions(spark, path):
-        floor = look_back_floor(spark.read.parquet(path), watermark, days, partition)
+        floor = look_back_floor(stored(spark, path), watermark, days, partition)
     merge_into(spark, path, build(floor), key, partition, [watermark], cluster, fixed_partition)
-    return spark.read.parquet(path)
+    return stored(spark, path)
 
 
 class VersionedTable:

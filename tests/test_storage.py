@@ -188,6 +188,37 @@ def test_merge_moves_a_row_between_partitions(spark, folder, old, new):
         assert rows(got.select("id", "part", "v")) == sorted([(1, new, 2), (2, "stay", 1)], key=repr)
 
 
+def test_merge_searches_partitions_of_the_delta_keys_only(spark, folder):
+    """Keys rise with the partition: a late change is looked for where its key can be, and columns are known without footers."""
+    from merchlens.sources.incremental import KeyRanges, stored
+
+    path = f"{folder}/t"
+    days = [(100 * d + i, f"d{d}", i) for d in range(6) for i in range(20)]
+    merge_into(spark, path, spark.createDataFrame(days, "id int, part string, v int"), ["id"], "part")
+    delta = spark.createDataFrame([(305, "d5", -1, "new"), (999, "d9", 1, "new")], "id int, part string, v int, w string")
+    ranges = KeyRanges(spark, path, ["id"], delta.schema["part"])
+    assert ranges.meeting(delta) == {"d3"}
+    merge_into(spark, path, delta, ["id"], "part")
+    got = stored(spark, path)
+    assert set(got.columns) == {"id", "part", "v", "w"} and got.count() == 121
+    assert rows(got.where("id IN (305, 999)").select("id", "part", "v", "w")) == [(305, "d5", -1, "new"), (999, "d9", 1, "new")]
+    assert ranges.meeting(delta) == {"d3", "d5", "d9"}  # a range only grows
+    # A table without notes is read once and has them then.
+    spark.createDataFrame(days, "id int, part string, v int").write.partitionBy("part").parquet(f"{folder}/old")
+    merge_into(spark, f"{folder}/old", delta.drop("w"), ["id"], "part")
+    assert stored(spark, f"{folder}/old").where("id = 305").count() == 1
+    assert KeyRanges(spark, f"{folder}/old", ["id"], delta.schema["part"]).read().count() == 7
+
+
+def test_latest_rows_do_not_depend_on_the_order_of_arrival(spark):
+    from merchlens.sources.incremental import latest_rows
+
+    data = [(1, 5, v) for v in range(50)]
+    for n in (1, 7):
+        df = spark.createDataFrame(data[n:] + data[:n], "k int, at int, v int").repartition(n)
+        assert rows(latest_rows(df, ["k"], ["at"])) == [(1, 5, 49)]
+
+
 def test_parity_pairs_repeated_keys(spark):
     from merchlens.sources.sinks import parity
 
