@@ -29,6 +29,26 @@ def resolve(spark, sf_dir):
     return datasets.resolve(spark, f"{folder}/users", "user_id bigint, signup_date date, country string")
 
 
+_LINE = "CASE WHEN user_id % 7 = 0 THEN user_id || ',soon,' || country WHEN user_id % 11 = 0 THEN user_id || ',' || CAST(signup_date AS VARCHAR) WHEN user_id % 13 = 0 THEN user_id || ',' || CAST(signup_date AS VARCHAR) || ',' || country || ',more' ELSE user_id || ',' || CAST(signup_date AS VARCHAR) || ',' || country END"
+
+
+@query(
+    "src_1_rejects",
+    f"""
+WITH l AS (SELECT *, user_id % 7 = 0 OR user_id % 11 = 0 OR user_id % 13 = 0 AS broken, {_LINE} AS line FROM stg_users)
+SELECT CASE WHEN NOT broken THEN user_id END AS user_id, CASE WHEN NOT broken THEN signup_date END AS signup_date,
+       CASE WHEN NOT broken THEN country END AS country, CASE WHEN broken THEN line END AS record FROM l""",
+)
+def rejects(spark, sf_dir):
+    """A CSV with wrong dates, missing and surplus cells: the good rows typed, every broken line whole."""
+    users = shop(spark, sf_dir).stg_users
+    lines = users.select(F.expr(_LINE.replace("VARCHAR", "STRING")).alias("value"))
+    path = work_dir(spark, "broken")
+    lines.write.text(path)
+    good, broken = datasets.read_checked(spark, path, "user_id bigint, signup_date date, country string", header=False)
+    return good.withColumn("record", F.lit(None).cast("string")).unionByName(broken.select("record"), allowMissingColumns=True)
+
+
 @query("src_2_views", "SELECT count(*) AS n, count(DISTINCT user_id) AS users FROM raw_orders", "orders")
 def views(spark, sf_dir):
     datasets.register(shop(spark, sf_dir).raw)
@@ -127,6 +147,22 @@ def clustered(spark, sf_dir):
     return spark.read.parquet(path).select("user_id", "customer_segment", "country", "lifetime_revenue")
 
 
+@query(
+    "snk_3_files_read",
+    "SELECT count(*) FILTER (ab_variant = 'control') AS rows_kept, TRUE AS fewer_than_sorted FROM fct_funnel",
+    "click",
+)
+def files_read(spark, sf_dir):
+    """A filter on the last of three cluster columns reads fewer of 64 files than in a table sorted by them in turn."""
+    funnel = clicks(spark, sf_dir).fct_funnel.select("session_id", "total_events_count", "session_start", "ab_variant")
+    cluster, folder = ["session_start", "total_events_count", "ab_variant"], work_dir(spark, "clustered")
+    sinks.write_dimension(funnel, f"{folder}/curve", cluster, files=64)
+    funnel.repartitionByRange(64, *cluster).sortWithinPartitions(*cluster).write.parquet(f"{folder}/sorted")
+    read = {name: sinks.files_to_read(spark.read.parquet(f"{folder}/{name}"), "ab_variant", "control").first() for name in ("curve", "sorted")}
+    kept = spark.read.parquet(f"{folder}/curve").where(F.col("ab_variant") == "control").agg(F.count(F.lit(1)).alias("rows_kept"))
+    return kept.withColumn("fewer_than_sorted", F.lit(read["curve"].files_read < read["sorted"].files_read))
+
+
 @query(
     "snk_4_json_report",
     """

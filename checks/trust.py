@@ -74,22 +74,59 @@ def order_marts_suite(spark, sf_dir):
     return _suite(shop, "order-marts", SHOP_MODELS, spark, sf_dir)
 
 
+BUILT = (*CLICK_MODELS, "stg_orders", "fct_user_retention", "int_user_cohort_monthly", "int_user_order_summary")
+KEYED = ("int_session_funnel_events", "fct_orders", "dim_users", "stg_orders", "int_user_order_summary")
+EXPORTED = [m for m in BUILT if m[:4] not in ("int_", "stg_")]
+REPORTS = ("funnel_analysis_report", "cohort_retention_report", "ab_test_results_report", "statistical_summary_report")
+
+
 @query(
     "cfg_1_ordered_build",
-    " UNION ALL ".join(f"SELECT '{m}' AS \"table\", count(*) AS \"rows\" FROM {m}" for m in CLICK_MODELS if m[:4] != "int_"),
+    " UNION ALL ".join(f"SELECT '{m}' AS \"table\", count(*) AS \"rows\", TRUE AS made FROM {m}" for m in EXPORTED)
+    + "".join(f" UNION ALL SELECT '{r}', CAST(NULL AS BIGINT), TRUE" for r in REPORTS),
     "click",
 )
 def ordered_build(spark, sf_dir):
-    """Models, assertions, gate and exports in one call: the rows of every exported mart, read from its CSV form."""
+    """Models, assertions, gate, exports and reports in one call, with the keys of this shop as assertions.
+
+    The rows of every exported mart, read from its CSV form, and that each report was written.
+    """
     from merchlens.plans.build import ordered_build as build
 
-    folder, counts = work_dir(spark, "build"), None
-    build(clicks(spark, sf_dir), folder, CLICK_MODELS, threshold=10**9)
-    for mart in (m for m in CLICK_MODELS if m[:4] != "int_"):
+    folder, out = work_dir(spark, "build"), None
+    # Sessions with several orders have several rows in the funnel and experiment tables of this data.
+    keys = [c for c in quality.declared_checks(KEYED) if c.kind == "unique"]
+    build(clicks(spark, sf_dir), folder, BUILT, checks=keys)
+    for mart in EXPORTED:
         rows = spark.read.option("header", True).option("multiLine", True).csv(f"{folder}/export/{mart}.csv")
-        one = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(mart).alias("table"), "rows")
-        counts = one if counts is None else counts.union(one)
-    return counts
+        one = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(mart).alias("table"), "rows", F.lit(True).alias("made"))
+        out = one if out is None else out.union(one)
+    for name in REPORTS:
+        made = not spark.read.parquet(f"{folder}/reports/{name}.parquet").isEmpty()
+        out = out.union(spark.range(1).select(F.lit(name), F.lit(None).cast("bigint"), F.lit(made)))
+    return out
+
+
+@query(
+    "cfg_1_gate",
+    f"""SELECT kind || '_' || "table" || '_' || "column" AS assertion, failures, CASE WHEN errored THEN 'ERROR' ELSE 'FAIL' END AS state,
+       FALSE AS exported FROM ({suite_sql(CLICK_MODELS)}) WHERE failures > 0""",
+    "click",
+)
+def gated_build(spark, sf_dir):
+    """The declared assertions stop the build of this data: the incidents, and that nothing behind the gate was written."""
+    from merchlens.plans.build import ordered_build as build
+    from merchlens.sources.incremental import committed
+
+    folder = work_dir(spark, "gated")
+    try:
+        build(clicks(spark, sf_dir), folder, CLICK_MODELS)
+        found = []
+    except quality.GateTripped as tripped:
+        found = tripped.incidents
+    exported = committed(spark, f"{folder}/export/fct_orders.parquet")
+    rows = spark.createDataFrame(found, "assertion string, failures bigint, state string")
+    return rows.withColumn("exported", F.lit(exported))
 
 
 @query("dq_5_click_marts_suite", suite_sql(CLICK_MODELS), "click")
@@ -400,6 +437,33 @@ def conflicts(spark, sf_dir):
     return found.select("user_id", "request_key", "event_id", "request_hash", "first_hash")
 
 
+@query(
+    "dq_18_ledger",
+    f"""
+WITH {_PAYLOAD},
+half AS (SELECT count(*) // 2 AS n FROM stg_events),
+arrived AS (SELECT 0 AS batch, h.* FROM hashed h WHERE event_id < (SELECT n FROM half)
+  UNION ALL SELECT 1, h.* FROM hashed h WHERE event_id >= (SELECT n FROM half) OR event_id % 10 = 0),
+earliest AS (SELECT user_id, request_key, arg_min(struct_pack(b := batch, e := event_id, h := h), struct_pack(b := batch, e := event_id)) AS f FROM arrived GROUP BY ALL)
+SELECT CAST(batch AS BIGINT) AS batch, event_id, user_id, request_key,
+       CASE WHEN batch = f.b AND event_id = f.e THEN 'first' WHEN h = f.h THEN 'replay' ELSE 'conflict' END AS outcome
+FROM arrived JOIN earliest USING (user_id, request_key)""",
+    "click",
+)
+def ledger_outcomes(spark, sf_dir):
+    """Two batches; the second brings a tenth of the first again and reuses its keys."""
+    from merchlens.streaming.ledger import Ledger
+
+    requests = _requests(spark, sf_dir).select("event_id", "user_id", "request_key", "event_type", "step_number")
+    half = requests.agg(F.count(F.lit(1))).first()[0] // 2
+    ledger = Ledger(spark, work_dir(spark, "ledger"), "user_id", "request_key", "event_id", ["event_type", "step_number"])
+    ledger.add(0, requests.where(F.col("event_id") < half))
+    again = requests.where((F.col("event_id") >= half) | (F.col("event_id") % 10 == 0))
+    for _ in range(2):  # the second time it is the same batch again
+        ledger.add(1, again)
+    return ledger.outcomes().select("batch", "event_id", "user_id", "request_key", "outcome")
+
+
 @query(
     "agg_17_layer_totals",
     f"""

@@ -561,7 +561,8 @@ def audit(df: DataFrame, amount: str = "total_amount") -> DataFrame:
     )
 
 
-def _hashed(requests: DataFrame, payload: Sequence[str]) -> DataFrame:
+def hashed_requests(requests: DataFrame, payload: Sequence[str]) -> DataFrame:
+    """``requests`` and the hash of what they ask for."""
     return requests.withColumn("request_hash", F.sha2(F.to_json(F.struct(*payload)), 256))
 
 
@@ -571,7 +572,7 @@ def first_requests(requests: DataFrame, user: str, key: str, at: str, payload: S
     Two combining aggregates and no window or join, so a key repeated any number of times
     costs one row per distinct payload.
     """
-    by_payload = _hashed(requests, payload).groupBy(user, key, "request_hash").agg(
+    by_payload = hashed_requests(requests, payload).groupBy(user, key, "request_hash").agg(
         F.min(at).alias("first_at"), F.count(F.lit(1)).alias("requests")
     )
     order = F.struct("first_at", "request_hash")
@@ -587,5 +588,5 @@ def conflicting_requests(requests: DataFrame, user: str, key: str, at: str, payl
     """Requests that reuse a key with a different payload than its first request."""
     kept = first_requests(requests, user, key, at, payload)
     first = kept.select(user, key, F.col("request_hash").alias("first_hash"), "first_at")
-    matched = _hashed(requests, payload).join(first, [user, key])
+    matched = hashed_requests(requests, payload).join(first, [user, key])
     return matched.where(F.col("request_hash") != F.col("first_hash"))

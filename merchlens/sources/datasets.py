@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from merchlens.sources.bindings import RAW, RawTables
@@ -28,6 +29,7 @@ RAW_SCHEMAS = {
     "order_items": "order_item_id string, order_id string, product_id string, quantity int, unit_price double, "
     "unit_cost double, line_total double, total_item_price double, line_profit double",
 }
+BROKEN = "_broken_line"
 REPORTS = ("funnel_analysis", "cohort_retention", "ab_test_results", "statistical_summary")
 
 
@@ -62,6 +64,24 @@ def resolve(spark: SparkSession, base: str, schema: str | None = None) -> DataFr
     raise DatasetMissing(f"no parquet or CSV at {stem}")
 
 
+def read_checked(spark: SparkSession, path: str, schema: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV that fit ``schema``, and the rejects: each broken line whole in ``record``, and its ``file``.
+
+    A line is broken if a cell does not have its column's type or if it has more or fewer cells. Nothing is lost: every
+    line is in one of the two. Both are lazy and read the files once each; quoted cells may not hold line ends.
+    """
+    names = [field.name for field in StructType.fromDDL(schema)]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    if header:
+        lines = lines.where(F.col("value") != ",".join(names))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    parsed = lines.select("value", "file", F.from_csv("value", f"{schema}, {BROKEN} string", options).alias("row"))
+    broken = F.col(f"row.{BROKEN}").isNotNull()
+    return parsed.where(~broken).select(*(f"row.{c}" for c in names)), parsed.where(broken).select(
+        F.col("value").alias("record"), "file"
+    )
+
+
 def load_raw(spark: SparkSession, folder: str, names: Mapping[str, str] | None = None) -> RawTables:
     """The six raw tables of a folder, registered as views ``raw_<name>`` and ``<name>``."""
     names = names or {name: name for name in RAW}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -60,7 +60,7 @@ def upsert_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
             batch.sparkSession, path, stamped(inserts(batch), INSERT), KEY, PARTITION, order=["event_timestamp", "event_type"]
         )
 
-    return _available(stream, upsert, checkpoint)
+    return available_now(stream, upsert, checkpoint)
 
 
 def finish(query: StreamingQuery) -> int:
@@ -100,7 +100,7 @@ def funnel_stream(stream: DataFrame, path: str, checkpoint: str, stages: Sequenc
     def add(batch: DataFrame, number: int) -> None:
         funnel_runs(batch.sparkSession, path, stages).add(number, session_funnel(batch, stages))
 
-    return _available(stream, add, checkpoint)
+    return available_now(stream, add, checkpoint)
 
 
 def read_funnel(spark: SparkSession, path: str, stages: Sequence[Stage] = STAGES) -> DataFrame:
@@ -108,7 +108,8 @@ def read_funnel(spark: SparkSession, path: str, stages: Sequence[Stage] = STAGES
     return funnel_runs(spark, path, stages).read()
 
 
-def _available(stream: DataFrame, batch, checkpoint: str) -> StreamingQuery:
+def available_now(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Hand what has arrived to ``batch``, then stop."""
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -158,7 +159,7 @@ def session_stream(stream: DataFrame, path: str, checkpoint: str, gap: str = GAP
     def add(batch: DataFrame, number: int) -> None:
         session_runs(batch.sparkSession, path, gap).add(number, session_windows(batch, gap))
 
-    return _available(stream, add, checkpoint)
+    return available_now(stream, add, checkpoint)
 
 
 def read_sessions(spark: SparkSession, path: str, gap: str = GAP) -> DataFrame:

@@ -404,3 +404,87 @@ def test_work_folder_is_below_the_shared_one(spark):
     made = work_dir(spark, "x")
     assert made.startswith(shared) if shared else made
     assert work_dir(spark, "x") != made
+
+
+def test_ledger_remembers_between_batches(spark, folder):
+    from merchlens.streaming.ledger import Ledger
+
+    ledger = Ledger(spark, folder, "user", "key", "at", ["what"])
+    kind = "at int, user string, key string, what string"
+    first = spark.createDataFrame([(2, "u", "k", "b"), (1, "u", "k", "a"), (3, "u", "k", "a"), (4, None, "k", "a"), (5, "u", None, "x")], kind)
+    second = spark.createDataFrame([(6, "u", "k", "a"), (7, "u", "k", "c"), (8, "v", "k", "a"), (9, "u", None, "x")], kind)
+    ledger.add(0, first)
+    for _ in range(2):
+        ledger.add(1, second)
+    got = {r.at: (r.batch, r.outcome) for r in ledger.outcomes().collect()}
+    assert got == {
+        1: (0, "first"), 2: (0, "conflict"), 3: (0, "replay"), 4: (0, "first"), 5: (0, "first"),
+        6: (1, "replay"), 7: (1, "conflict"), 8: (1, "first"), 9: (1, "first"),
+    }
+    ledger.add(2, spark.createDataFrame([], kind))
+    assert ledger.outcomes().count() == 9
+
+
+def test_ledger_stream(spark, folder):
+    from merchlens.streaming import ledger
+
+    source, kind = f"{folder}/in", "at int, user string, key string, what string"
+    for rows_in in ([(1, "u", "k", "a")], [(2, "u", "k", "a"), (3, "u", "k", "b")]):
+        spark.createDataFrame(rows_in, kind).write.mode("append").parquet(source)
+        stream = changes.change_stream(spark, source, kind)
+        changes.finish(ledger.ledger_stream(stream, f"{folder}/l", f"{folder}/cp", "user", "key", "at", ["what"]))
+    got = ledger.Ledger(spark, f"{folder}/l", "user", "key", "at", ["what"]).outcomes()
+    assert rows(got.select("at", "outcome")) == [(1, "first"), (2, "replay"), (3, "conflict")]
+
+
+def test_broken_lines_are_kept_whole(spark, folder):
+    from merchlens.sources.datasets import read_checked
+
+    lines = ["id,day,name", "1,2024-01-01,a", "x,2024-01-01,b", "3,2024-13-01,c", "4,2024-01-04", "5,2024-01-05,e,f", '6,,"g,h"', "7,2024-01-07,"]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(folder + "/t")
+    good, broken = read_checked(spark, folder + "/t", "id int, day date, name string")
+    assert rows(good.select("id", "name")) == [(1, "a"), (6, "g,h"), (7, None)]
+    assert rows(broken.select("record")) == [("3,2024-13-01,c",), ("4,2024-01-04",), ("5,2024-01-05,e,f",), ("x,2024-01-01,b",)]
+
+
+def test_parity_joins_only_buckets_that_differ(spark):
+    from merchlens.sources import sinks
+
+    left = spark.range(500).select("id", (F.col("id") * 0.1).alias("v"), F.when(F.col("id") % 9 > 0, "x").alias("s"))
+    assert tuple(sinks.parity(left, left.withColumn("v", F.col("v").cast("float").cast("double")), "id").first()) == (500, 500, 0, 0, 0, 0)
+    changed = left.withColumn("v", F.when(F.col("id") == 7, 9.0).when(F.col("id") == 8, F.col("v") + 0.005).otherwise(F.col("v")))
+    changed = changed.withColumn("s", F.when(F.col("id") == 9, "x").otherwise(F.col("s"))).where("id <> 100")
+    assert tuple(sinks.parity(left, changed, "id").first()) == (500, 499, 1, 0, 1, 1)
+    a, b = (sinks.checksums(df, "id", ["v", "s"], 64) for df in (left, changed))
+    assert a.exceptAll(b).count() <= 4
+
+
+@pytest.mark.parametrize("columns", [["a", "b", "c"], ["c", "a"]])
+def test_every_cluster_column_skips_files(spark, folder, columns):
+    """Rows stay whole, nulls too; each column's filter reads a small part of the files."""
+    from merchlens.sources import sinks
+
+    kinds = {"a": F.col("id") % 61, "b": F.concat(F.lit("n"), F.lpad((F.col("id") * 7 % 53).cast("string"), 2, "0")), "c": (F.col("id") * 11 % 47).cast("double")}
+    df = spark.range(6000).select("id", *(F.when(F.col("id") % 100 > 0, e).alias(n) for n, e in kinds.items()))
+    sinks.write_dimension(df, folder + "/t", columns, files=64)
+    stored = spark.read.parquet(folder + "/t")
+    assert stored.exceptAll(df).isEmpty() and stored.count() == 6000
+    for column in columns:
+        value = df.where(f"{column} IS NOT NULL AND id = 1234").first()[column]
+        found = sinks.files_to_read(stored, column, value).first()
+        assert found.files > 40 and found.files_read < 0.6 * found.files
+
+
+def test_keys_of_several_types_in_one_pass(spark):
+    """Numbers of different width meet, text that is no number is an orphan, null keys pass, a hot key is one row."""
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id bigint")
+    child = spark.createDataFrame([(1, "1"), (3, "2"), (3, "x"), (None, None)], "small int, txt string")
+    checks = [
+        quality.Check("p", "id", "unique"),
+        quality.Check("c", "small", "relationships", parent=("p", "id")),
+        quality.Check("c", "txt", "relationships", parent=("p", "id")),
+        quality.Check("c", "small", "unique"),
+    ]
+    results = quality.run_checks({"p": parent, "c": child}, checks)
+    got = {(r.table, r.column, r.kind): r.failures for r in results.collect()}
+    assert got == {("p", "id", "unique"): 1, ("c", "small", "relationships"): 2, ("c", "txt", "relationships"): 1, ("c", "small", "unique"): 1}
