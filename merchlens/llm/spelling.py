@@ -29,7 +29,8 @@ LONG_RUN = re.compile("[a-zÀ-ÿ]{%d,}" % MIN_LENGTH)
 COUNTS_HELD = 100_000  # words and letters of words that a task counts before it hands them on
 HELD_LETTERS = 4_000_000
 BLOCK_LETTERS = 16_384  # code points of a block, one word at least
-CELLS = 1 << 21  # compared code points of a tile at once
+CELLS = 1 << 20  # pairs of a tile at once
+TASK_PAIRS = 1 << 27  # pairs that one task compares, about
 
 
 def runs(text: str | None) -> Iterator[list[str]]:
@@ -101,19 +102,27 @@ def halves(word: Column) -> Column:
 
 
 def padded(words: list[str], wide: int) -> tuple[np.ndarray, np.ndarray]:
-    """Code points aligned left and aligned right (reversed), with zeros behind; and their lengths are known outside."""
-    left, right = np.zeros((len(words), wide), np.uint16), np.zeros((len(words), wide), np.uint16)
-    for row, word in enumerate(words):
-        codes = np.frombuffer(word.encode("utf-16-le"), np.uint16)  # letters lie below U+0100
-        left[row, : len(codes)], right[row, : len(codes)] = codes, codes[::-1]
+    """(position, word) matrices of code points, aligned left and aligned right (read backwards), with zeros behind."""
+    left, right = np.zeros((wide, len(words)), np.uint8), np.zeros((wide, len(words)), np.uint8)
+    for at, word in enumerate(words):
+        codes = np.frombuffer(word.encode("latin-1"), np.uint8)  # all letters lie below U+0100
+        left[: len(codes), at], right[: len(codes), at] = codes, codes[::-1]
     return left, right
 
 
-def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many code points each row of ``a`` has in common with each row of ``b`` from the start."""
-    differ = a[:, None, :] != b[None, :, :]
-    first = differ.argmax(axis=2)
-    return np.where(differ.any(axis=2), first, a.shape[1])
+def shared(a: np.ndarray, b: np.ndarray, known: int = 0) -> np.ndarray:
+    """How many code points each word of ``a`` has in common with each of ``b`` from the start, where ``known`` are.
+
+    One position at a time for the whole tile, until no pair goes on.
+    """
+    going = np.ones((a.shape[1], b.shape[1]), bool)
+    count = np.full(going.shape, known, np.uint8 if len(a) < 255 else np.uint32)
+    for one, two in zip(a[known:], b[known:], strict=True):
+        going &= one[:, None] == two[None, :]
+        if not going.any():
+            break
+        count += going
+    return count
 
 
 def near_pairs(a: list[str], b: list[str] | None, shorter: int, side: str) -> Iterator[tuple[int, int]]:
@@ -124,18 +133,20 @@ def near_pairs(a: list[str], b: list[str] | None, shorter: int, side: str) -> It
     own, b = b is None, a if b is None else b
     wide = shorter + 1
     sizes = [np.array([len(w) for w in part]) for part in (a, b)]
-    step = max(1, int((CELLS / wide) ** 0.5))
+    step = max(1, int(CELLS**0.5))
+    half = shorter // 2
+    known = (half, 0) if side == "left" else (0, half)
     for i in range(0, len(a), step):
         left_a, right_a = padded(a[i : i + step], wide)
         for j in range(i if own else 0, len(b), step):
             left_b, right_b = padded(b[j : j + step], wide)
             size_a, size_b = sizes[0][i : i + step, None], sizes[1][None, j : j + step]
             least, most = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-            prefix = np.minimum(shared(left_a, left_b), least)
-            suffix = np.minimum(shared(right_a, right_b), least)
+            prefix = np.minimum(shared(left_a, left_b, known[0]), least)
+            suffix = np.minimum(shared(right_a, right_b, known[1]), least)
             found = (prefix + suffix >= most - 1) & (least == shorter)
             if side == "right":
-                found &= prefix < shorter // 2
+                found &= prefix < half
             if own and i == j:
                 found &= np.arange(len(size_a))[:, None] < np.arange(size_b.shape[1])[None, :]
             for x, y in zip(*np.nonzero(found), strict=True):
@@ -183,16 +194,20 @@ def near_words(counts: DataFrame) -> DataFrame:
     groups = groups.select(*key, F.ceil(F.col("letters") / BLOCK_LETTERS).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")
     held = listed.join(groups, key).select(*key, "blocks", mine.alias("block"), F.struct("word", "n").alias("entry"))
-    blocks = written(held.groupBy(*key, "blocks", "block").agg(F.collect_list("entry").alias("a")), "blocks")
+    blocks = held.groupBy(*key, "blocks", "block").agg(F.collect_list("entry").alias("a"), F.count("*").alias("words"))
+    blocks = written(blocks, "blocks")
+    work = blocks.agg(F.sum(F.col("words") * F.col("words") * F.col("blocks"))).first()[0] or 0
+    tasks = max(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(work) // TASK_PAIRS + 1)
     # Block i meets itself and those behind it: each block is copied to the pairs it is in.
     pairs = blocks.select(*key, "block", "a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
     pairs = pairs.select(*key, lo.alias("lo"), hi.alias("hi"), "block", "a")
     first = pairs.where("block = lo").drop("block")
     second = pairs.where("block = hi AND lo < hi").select(*key, "lo", "hi", F.col("a").alias("b"))
-    tiles = first.join(second, [*key, "lo", "hi"], "left")
+    # Tiles differ in work, not in bytes: adaptive execution would put too many of them into one task.
+    tiles = first.join(second, [*key, "lo", "hi"], "left").where("lo = hi OR b IS NOT NULL").repartition(tasks)
     schema = "one string, n_one bigint, two string, n_two bigint"
-    return tiles.where("lo = hi OR b IS NOT NULL").select("size", "side", "lo", "hi", "a", "b").mapInArrow(_tiles, schema)
+    return tiles.select("size", "side", "lo", "hi", "a", "b").mapInArrow(_tiles, schema)
 
 
 def roots(links: DataFrame) -> DataFrame:
