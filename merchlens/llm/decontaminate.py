@@ -43,7 +43,11 @@ PLAIN = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in LOWER_BYTES
 
 def plain(text: str | None) -> bytes:
     text = text or ""
-    return (text if text.isascii() else UNSPACED.sub(r" \1 ", text)).encode().translate(PLAIN)
+    data = text.encode()
+    # Scripts without spaces lie where UTF-8 takes three bytes: most texts need no search.
+    if not text.isascii() and np.frombuffer(data, np.uint8).max() >= 0xE0:
+        data = UNSPACED.sub(r" \1 ", text).encode()
+    return data.translate(PLAIN)
 
 
 def numbered(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
@@ -83,15 +87,13 @@ class Items:
 
     def places(self, words: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the words' pairs that are among the sorted ``codes``, and which code each is."""
-        places, found = [], []
-        for step in (1, 2):
-            at = np.flatnonzero((words[:-step] > 0) & (words[step:] > 0))
-            pairs = self.pairs(words, step)[at]
-            where = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
-            hit = codes[where] == pairs if len(codes) else at < 0
-            places.append(at[hit])
-            found.append(where[hit])
-        return np.concatenate(places), np.concatenate(found)
+        known = words > 0
+        at = [np.flatnonzero(known[:-step] & known[step:]) for step in (1, 2)]
+        pairs = np.concatenate([self.pairs(words, step)[own] for step, own in zip((1, 2), at, strict=True)])
+        at = np.concatenate(at)
+        where = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
+        hit = codes[where] == pairs if len(codes) else at < 0
+        return at[hit], where[hit]
 
 
 def frequencies(docs: DataFrame, items: Items) -> tuple[int, np.ndarray, np.ndarray]:
