@@ -380,7 +380,7 @@ def daily_trend(orders: DataFrame, windows: Sequence[int] = (7, 30), by: Sequenc
     days there are. One row per day (and slice) reaches the window.
     """
     daily = orders.groupBy(*by, "order_date").agg(sum_exact("subtotal_amount").alias("gross_revenue"))
-    span = orders.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last"))
+    span = daily.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last"))
     if by:
         slices = daily.select(*by).distinct()
         lo, hi = span.select("first").scalar(), span.select("last").scalar()

@@ -6,12 +6,12 @@ import json
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from merchlens.functions.scalar import all_of
+from merchlens.session import work_dir
 
 LOOK_BACK_DAYS = 3  # fixed value
 
@@ -114,12 +114,13 @@ def merge_into(
     date); then only the partitions of the delta are read, not keys of others.
     """
     fresh = latest_rows(delta, key, order or [c for c in delta.columns if c not in key])
-    # Read several times below; a lost executor's part is computed again.
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+    # Read several times below: a table in the shared folder is the same each time and survives lost executors.
+    place = work_dir(spark, "delta")
+    fresh.write.parquet(place)
     try:
-        _merge_fresh(spark, path, fresh, key, partition, cluster, fixed_partition)
+        _merge_fresh(spark, path, spark.read.schema(fresh.schema).parquet(place), key, partition, cluster, fixed_partition)
     finally:
-        fresh.unpersist()
+        remove(spark, place)
 
 
 def _merge_fresh(
