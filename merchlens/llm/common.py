@@ -35,6 +35,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as a column of ``df`` is called so."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm.common import LOWER_BYTES, SPACE, ascii_lower, id_or_last, written
+from merchlens.llm.common import LOWER_BYTES, SPACE, ascii_lower, free_name, id_or_last, written
 from merchlens.session import work_dir
 
 SEED = 42
@@ -49,7 +49,7 @@ class LineRuns:
         return [run for level in self.levels for run in level]
 
     def add(self, pairs: DataFrame) -> DataFrame:
-        """Take in a batch (id, h1, h2); return its (id, h1) that an earlier document owns.
+        """Take in a batch (id, h1, h2, ..); return its rows without h2 that an earlier document owns.
 
         The batch shrinks to one row per hash before it is shuffled, and is bucketed like the runs. Only hashes that
         are shared meet the batch's rows again, in a join that adaptive execution can split, so a line that a third of
@@ -65,7 +65,7 @@ class LineRuns:
         within = fresh.where("owner < last").select(*HASH, "owner")
         owners = written(within if shared is None else shared.union(within), "shared-lines")
         self._keep(self._run(fresh.select(*HASH, "owner")), 0)
-        return written(pairs.join(owners, hashes).where("owner < id").select("id", "h1"), "dropped-lines")
+        return written(pairs.join(owners, hashes).where("owner < id").select(*(c for c in pairs.columns if c != "h2")), "dropped-lines")
 
     def _keep(self, run: DataFrame, level: int) -> None:
         if level == len(self.levels):
@@ -84,12 +84,21 @@ class LineRuns:
 
 
 def line_pairs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, h1, h2): the different long lines of every document, as 128-bit hashes of their keys."""
-    lines = docs.select(id_or_last().alias("id"), F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
-    keys = lines.select("id", ascii_lower(F.btrim("line", F.lit(SPACE))).alias("key")).where(
+    """(id, text, h1, h2): the long lines of every document, as 128-bit hashes of their keys; text is its hash.
+
+    Rows that share an id, or have none, are told apart by the hash of their text: what is dropped from one text is the
+    same wherever it stands under that id, and no list holds the lines of more than one text.
+    """
+    lines = docs.select(
+        id_or_last().alias("id"),
+        F.xxhash64("text").alias("hash"),
+        F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"),
+    )
+    keys = lines.select("id", "hash", ascii_lower(F.btrim("line", F.lit(SPACE))).alias("key")).where(
         F.length("key") >= min_chars
     )
-    return keys.select("id", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"))
+    h1, h2 = F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2")
+    return keys.select("id", F.col("hash").alias("text"), h1, h2)
 
 
 def without_lines(text: pd.Series, drops: pd.Series) -> pd.DataFrame:
@@ -113,13 +122,13 @@ def without_lines(text: pd.Series, drops: pd.Series) -> pd.DataFrame:
 
 
 def dropped_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, gone): for each document with shared lines, the hashes of those that a smaller doc_id holds."""
+    """(id, text, gone): for each text with shared lines, the hashes of those that a smaller doc_id holds."""
     spark = docs.sparkSession
     cuts = docs.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
     batch = sum((F.when(F.col("id") > c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
     path = work_dir(spark, "line-pairs")
     line_pairs(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
-    pairs = spark.read.schema("id bigint, h1 bigint, h2 bigint, batch int").parquet(path)
+    pairs = spark.read.schema("id bigint, text bigint, h1 bigint, h2 bigint, batch int").parquet(path)
     runs, drops = LineRuns(spark), None
     try:
         for number in range(len(set(cuts)) + 1):
@@ -127,7 +136,7 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_
             drops = found if drops is None else drops.union(found)
     finally:
         runs.close()
-    return drops.groupBy("id").agg(F.collect_set("h1").alias("gone"))
+    return drops.groupBy("id", "text").agg(F.collect_set("h1").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -140,16 +149,10 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CH
     gives no rows.
     """
     apply = F.pandas_udf(without_lines, "text string, n_lines bigint, n_dropped bigint")
-    gone = dropped_lines(docs, batches, min_chars).select(F.col("id").alias("__id"), F.col("gone").alias("__gone"))
-    made = (
-        docs.withColumn("__key", id_or_last())
-        .join(gone, F.col("__key") == F.col("__id"), "left")
-        .withColumn("__made", apply("text", "__gone"))
-    )
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    columns = {c: F.col(f"`{c}`") for c in others} | {"text": F.col("__made.text")}
-    return made.select(
-        *(columns[c].alias(c) for c in docs.columns if c in columns),
-        F.col("__made.n_lines").alias("n_lines"),
-        F.col("__made.n_dropped").alias("n_dropped"),
-    )
+    key, hashed, gone, made = (free_name(docs, name) for name in ("key", "hash", "gone", "made"))
+    drops = dropped_lines(docs, batches, min_chars).toDF(key, hashed, gone)
+    keyed = docs.withColumns({key: id_or_last(), hashed: F.xxhash64("text")})
+    out = keyed.join(drops, [key, hashed], "left").withColumn(made, apply("text", gone))
+    others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    columns = [F.col(f"{made}.text" if c == "text" else f"`{c}`").alias(c) for c in others]
+    return out.select(*columns, f"{made}.n_lines", f"{made}.n_dropped")

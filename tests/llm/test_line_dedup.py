@@ -59,3 +59,24 @@ def test_runs_are_merged_by_level(llm):
 
 def test_empty_table(llm):
     assert line_dedup.dedup_lines(frame(llm, [])).count() == 0
+
+
+def test_lists_of_rows_without_id_are_those_of_one_text(llm):
+    """A third of the rows have no id; none of the lists of dropped lines holds more than its own text's."""
+    lines = [prose(i, 6) for i in range(30)]
+    docs = [(i, lines[i]) for i in range(30)] + [(None, f"{lines[i]}\n{lines[(i * 7 + 1) % 30]}\nown {i}") for i in range(30)]
+    docs += [(50, lines[3]), (50, lines[4])]
+    got = line_dedup.dropped_lines(frame(llm, docs)).collect()
+    assert len(got) == 32 and max(len(r.gone) for r in got) == 2
+    named = frame(llm, docs).withColumns({n: F.lit("clash") for n in ("row", "id", "made", "__key", "a.b")})
+    out = line_dedup.dedup_lines(named)
+    assert out.columns == [*named.columns, "n_lines", "n_dropped"]
+    got = [(repr(r.doc_id), r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in out.collect()]
+    assert sorted(got) == brute(docs)
+    assert {r.row for r in out.collect()} == {"clash"}
+
+
+def test_very_long_text(llm):
+    docs = [(1, "one shared line"), (2, "\n".join(["one shared line", *(f"line number {i}" for i in range(60_000))]))]
+    out = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(frame(llm, docs)).collect()}
+    assert out == {1: (1, 0), 2: (60_001, 1)}
