@@ -102,16 +102,18 @@ def token_pieces(docs: DataFrame, length: int = LENGTH, ranks_path: str | None =
 def pack(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOCS, seed: int = 7) -> DataFrame:
     """Pieces of all documents with their place: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Documents are dealt into groups of about ``group_docs`` by a seeded hash of the id and the first piece; each group
-    is packed on its own, so the padding is that of first-fit decreasing over a random sample, and a task holds one
-    group's lengths only. The upper bits of sequence_id are the group. A null or empty text is the end id alone. Rows without
-    doc_id are packed like others; repeated rows too, each row has its own pieces. An empty table gives no rows.
-    Other columns are not read. ``ids_of`` gives the ids of a piece.
+    Full pieces are sequences of their own. The others, one of a document at most, are dealt into groups of about
+    ``group_docs`` by a seeded hash of the piece and its row of the written table, so that rows without doc_id or with
+    the same one are spread like any; each group is packed on its own, so the padding is that of first-fit decreasing
+    over a random sample, and a task holds one group's lengths only. The upper bits of sequence_id are the group. A null
+    or empty text is the end id alone. Rows without doc_id are packed like others; repeated rows too, each row has its
+    own pieces. An empty table gives no rows. Other columns are not read. ``ids_of`` gives the ids of a piece.
     """
     pieces = written(token_pieces(docs, length), "pieces")
-    documents = pieces.where("start = 0").count()
-    groups = max(1, -(-documents // group_docs))
-    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "doc_tokens"), F.lit(groups))
+    partial = pieces.where(F.col("length") < length)
+    groups = max(1, -(-partial.count() // group_docs))
+    row = F.monotonically_increasing_id()
+    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "ids_crc32", row), F.lit(groups))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "start", "ids_crc32"], kind="stable")
@@ -120,7 +122,9 @@ def pack(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOCS, se
         frame["offset"] = offsets
         return frame.drop(columns="grp")
 
-    return pieces.withColumn("grp", group).groupBy("grp").applyInPandas(run, PIECES + ", sequence_id bigint, offset bigint")
+    shared = partial.withColumn("grp", group).groupBy("grp").applyInPandas(run, PIECES + ", sequence_id bigint, offset bigint")
+    full = pieces.withColumn("sequence_id", F.lit(groups << 32) + row).where(F.col("length") == length)
+    return shared.union(full.withColumn("offset", F.lit(0).cast("bigint")))
 
 
 def ids_of(text: str | None, start: int, length: int, ranks_path: str | None = None) -> np.ndarray:

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from merchlens.llm import packing
@@ -65,3 +67,21 @@ def test_every_id_once(llm, group_docs):
 
 def test_empty_table(llm):
     assert packing.pack(frame(llm, [])).count() == 0
+
+
+def test_rows_without_id_are_spread(llm, monkeypatch):
+    """A third of the rows have no id and the same text; no group is far above the median."""
+    texts = [(None, "")] * 400 + [(7, "same")] * 100 + [(i, prose(i, 5)) for i in range(1000, 1700)]
+    docs = frame(llm, texts).withColumns({n: F.lit("clash") for n in ("grp", "length", "start", "a.b")})
+    got = packing.pack(docs, group_docs=60).collect()
+    assert len(got) == len(texts)
+    sizes = sorted(Counter(r.sequence_id >> 32 for r in got).values())
+    assert len(sizes) == 20 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_full_pieces_stand_alone(llm):
+    docs = frame(llm, [prose(1, 3000), "short"])
+    got = packing.pack(docs).collect()
+    full = [r for r in got if r.length == 1024]
+    assert len(full) >= 3 and all(r.offset == 0 for r in full)
+    assert len({r.sequence_id for r in full}) == len(full) and not {r.sequence_id for r in full} & {r.sequence_id for r in got if r.length < 1024}
