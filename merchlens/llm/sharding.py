@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlens.llm.common import id_or_last, written
+from merchlens.llm.common import written
 
 SHARDS = 40
 ROW_BYTES = 16
@@ -143,6 +143,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).alias("h1"),
             F.xxhash64(F.lit("text"), text).alias("h2"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "sized",
     )
@@ -178,13 +179,14 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .applyInPandas(to_shards, "block bigint, n bigint, shard int"),
         "shards",
     )
-    # A block's rows are numbered in cells of bounded size, so a huge group is not one window.
+    # A block's rows are numbered in cells of bounded size, so a huge group is not one window; they are dealt by their
+    # row of the written table too, as many may share a doc_id or have none.
     cells = F.greatest(F.ceil(F.col("n") / CELL_ROWS), F.lit(1))
     where = placed.select("block", "shard", cells.alias("cells"))
     located = (
         rows.join(blocked.select("h1", "h2", "block"), ["h1", "h2"])
         .join(where, "block")
-        .withColumn("cell", F.pmod(F.xxhash64(id_or_last()), F.col("cells")))
+        .withColumn("cell", F.pmod(F.xxhash64("doc_id", "row"), F.col("cells")))
         .select("doc_id", "size", "text_crc32", "shard", "block", "cell")
     )
     located = written(located, "located")

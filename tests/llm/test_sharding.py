@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -63,3 +64,30 @@ def test_shards(llm, monkeypatch, hot):
 
 def test_empty_table(llm):
     assert sharding.assign_shards(frame(llm, [])).count() == 0
+
+
+def test_rows_without_id_are_spread(llm, monkeypatch):
+    """A large group of equal texts without doc_id is numbered in many cells; columns may have the names used here."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", 50)
+    texts = [(None, "same text")] * 900 + [prose(i, 20) for i in range(300)] + ["w " * 150_000]
+    docs = frame(llm, texts).withColumns({n: F.lit("clash") for n in ("row", "size", "shard", "block", "cell", "h1", "a.b")})
+    rows = sharding.assign_shards(docs, 4).collect()
+    assert len(rows) == len(texts)
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r.shard for r in rows if r.doc_id is None}) == 1
+
+
+def test_two_levels_are_near_plain_best_fit(llm):
+    """The blocks cost little against best-fit decreasing over all groups at once."""
+    rng = random.Random(6)
+    docs = frame(llm, [prose(i, rng.randint(2, 200)) for i in range(1200)])
+    totals, plain = [0] * 8, [0] * 8
+    for r in sharding.assign_shards(docs, 8).collect():
+        totals[r.shard] += r.size
+    sizes = np.array([len(r.text.encode()) + 16 for r in docs.collect()], dtype=np.int64)
+    for size, shard in zip(sizes, sharding.fit_into(sizes, 8), strict=True):
+        plain[shard] += int(size)
+    assert max(totals) <= 1.01 * max(plain)
