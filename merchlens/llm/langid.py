@@ -19,7 +19,7 @@ BITS = 14
 DIM = 1 << BITS
 CHARS_HELD = 1 << 20
 PER_LANGUAGE = 500  # documents of each language in the training sample
-MOST_LANGUAGES = 200
+SAMPLE, FEWEST = 100_000, 20  # documents in the whole sample, if there are many languages, and of each at least
 SPREAD = np.uint32(2654435761)
 
 
@@ -139,17 +139,19 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], list[tuple[np.ndarray, int, bool]]]:
     """Languages and (counts, language, held back for calibration) of a bounded sample, even over the languages.
 
-    Of each language (the ``MOST_LANGUAGES`` largest) a share of its documents by a hash of the id, about
-    ``per_language`` of them; together never more than four times as many.
+    Of every language a share of its documents by a hash of the id, about ``per_language`` of them, fewer if that made
+    more than ``SAMPLE`` in all, ``FEWEST`` at least; together never more than four times as many. The model has a
+    column for every language, however rare.
     """
-    sizes = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = docs.groupBy("lang").count().collect()
     if not sizes:
         return [], []
-    share = F.lit(0.0)
-    for row in sizes:
-        share = F.when(F.col("lang") == row["lang"], min(1.0, per_language / row["count"])).otherwise(share)
+    wanted = max(FEWEST, min(per_language, SAMPLE // len(sizes)))
     dice = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    chosen = docs.where(dice < share).limit(4 * per_language * len(sizes))
+    shares = [(r["lang"], min(1.0, wanted / r["count"])) for r in sizes]
+    # One row of two values per language.
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))
+    chosen = docs.join(share, "lang").where(dice < F.col("share")).limit(4 * wanted * len(sizes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -67,3 +67,18 @@ def test_nothing_to_learn(llm):
     assert langid.identify(empty).count() == 0
     unknown = llm.createDataFrame([(1, "text", None, None, 4)], SCHEMA)
     assert langid.identify(unknown).first().lang_pred == "und"
+
+
+def test_every_language_is_learned(llm, monkeypatch):
+    """Many languages, one of them with three documents only: each has a column of the model and is found."""
+    monkeypatch.setattr(langid, "SAMPLE", 300)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for n in range(26):
+        own = [letters[n], letters[(n * 7 + 3) % 26], letters[(n * 5 + 11) % 26]]
+        for i in range(3 if n == 25 else 24):
+            rows.append((len(rows), " ".join("".join(own[(i + j + k) % 3] for k in range(4)) for j in range(30)), f"l{n:02d}", "s", 0))
+    rows.append((9999, rows[-1][1], None, "s", 0))
+    out = {r.doc_id: r for r in langid.identify(llm.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[9999].lang_pred == "l25"
+    assert sum(out[i].lang_pred == lang for i, _, lang, _, _ in rows[:-1]) >= 0.95 * len(rows)
