@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks.registry import ORDERS_AS_OF, clicks, query, shop
 from checks.sqltext import big, dbl, ratio
 from merchlens.operators import measures as msr
+from merchlens.operators.cubes import number_entities
 
 CLICK_STAGE_COLUMNS = ("view", "view", "click", "click", "signup", "purchase")
 FACTS = ("fct_orders", "fct_funnel", "fct_user_retention", "fct_ab_test", "dim_users", "dim_date")
@@ -65,6 +68,53 @@ def executive_filtered(spark, sf_dir):
     return evaluate(shop(spark, sf_dir), EXECUTIVE, ["device_type"], {"customer_segment": ["BUILDING", "MACHINERY"]})
 
 
+_SLICES = ["order_month", "customer_segment", "device_type"]
+
+
+def _orders_by_month(spark, sf_dir):
+    return shop(spark, sf_dir).fct_orders.withColumn("order_month", F.trunc("order_date", "MM"))
+
+
+def _order_cube(spark, sf_dir):
+    orders = _orders_by_month(spark, sf_dir)
+    numbers = number_entities(orders, "order_id", _SLICES)
+    return msr.measure_cube(orders, "fct_orders", EXECUTIVE, _SLICES, numbers)
+
+
+@query("msr_02_cube_by_segment", _EXECUTIVE_SQL.format(key="customer_segment,", tail="GROUP BY customer_segment"))
+def cube_by_segment(spark, sf_dir):
+    """All segments from the cube of months, segments and devices."""
+    return msr.measures({"fct_orders": _order_cube(spark, sf_dir)}, EXECUTIVE, ["customer_segment"])
+
+
+@query(
+    "msr_02_cube_filtered",
+    _EXECUTIVE_SQL.format(
+        key="device_type,",
+        tail="WHERE customer_segment IN ('BUILDING', 'MACHINERY') AND order_date >= DATE '1996-03-01' GROUP BY device_type",
+    ),
+)
+def cube_filtered(spark, sf_dir):
+    """A range of months and a filter, answered without the fact."""
+    cube = _order_cube(spark, sf_dir).where(F.col("order_month") >= F.lit("1996-03-01").cast("date"))
+    return msr.measures({"fct_orders": cube}, EXECUTIVE, ["device_type"], {"customer_segment": ["BUILDING", "MACHINERY"]})
+
+
+@query(
+    "msr_07_cube_of_batches",
+    _EXECUTIVE_SQL.format(key="customer_segment,", tail="GROUP BY customer_segment"),
+)
+def cube_of_batches(spark, sf_dir):
+    """Three batches that share months; the second one's numbers continue the first one's, and so on."""
+    orders, numbers, cube = _orders_by_month(spark, sf_dir), None, None
+    for i in range(3):
+        batch = orders.where(F.pmod(F.dayofmonth("order_date"), F.lit(3)) == i)
+        numbers = number_entities(batch, "order_id", _SLICES, numbers)
+        part = msr.measure_cube(batch, "fct_orders", EXECUTIVE, _SLICES, numbers)
+        cube = part if cube is None else cube.merged(part)
+    return msr.measures({"fct_orders": cube.compacted()}, EXECUTIVE, ["customer_segment"])
+
+
 @query(
     "msr_04_sessions_and_users",
     f"""
@@ -81,6 +131,23 @@ def sessions_and_users(spark, sf_dir):
     return evaluate(clicks(spark, sf_dir), names, ["customer_segment"])
 
 
+@query(
+    "msr_04_cube_users",
+    f"""
+SELECT device_type, {big('count(*)')} AS total_sessions, count(DISTINCT user_id) AS total_unique_users
+FROM fct_funnel GROUP BY 1""",
+    "click",
+)
+def cube_users(spark, sf_dir):
+    """A user who comes on many days counts once."""
+    sessions, slices = clicks(spark, sf_dir).fct_funnel, ["session_month", "device_type", "customer_segment"]
+    sessions = sessions.withColumn("session_month", F.trunc("session_date", "MM"))
+    names = ["Total Sessions", "Total Unique Users"]
+    numbers = number_entities(sessions, "user_id", slices)
+    cube = msr.measure_cube(sessions, "fct_funnel", names, slices, numbers, CLICK_STAGE_COLUMNS)
+    return msr.measures({"fct_funnel": cube}, names, ["device_type"])
+
+
 @query(
     "msr_05_monthly_growth",
     f"""
@@ -145,15 +212,18 @@ _KEPT_RATES = [f"M{k} Retention Rate %" for k in range(1, 7)]
 _M = {k: f"count(DISTINCT user_id) FILTER (month_offset {'>=' if k == 6 else '='} {k})" for k in range(7)}
 
 
-@query(
-    "msr_11_retention_measures",
-    f"""
+_RETENTION_SQL = f"""
 WITH r AS (SELECT customer_segment, {', '.join(f'{_M[k]} AS u{k}' for k in range(7))}, sum(cumulative_revenue) AS cum FROM fct_user_retention GROUP BY 1),
 d AS (SELECT customer_segment, count(*) AS n, count(*) FILTER (lifetime_orders > 1) AS again FROM dim_users GROUP BY 1)
 SELECT customer_segment, u0 AS cohort_size_m0_users, {', '.join(f'u{k} AS m{k}_retained_users' for k in range(7))},
        {', '.join(f'coalesce({ratio(f"u{k}", "u0")}, 0) AS m{k}_retention_rate_pct' for k in range(1, 7))},
        coalesce({ratio('again', 'n')}, 0) AS repeat_purchase_rate_pct, coalesce({ratio('cum', 'u0')}, 0) AS cohort_cumulative_ltv_per_user
-FROM r JOIN d USING (customer_segment)""",
+FROM r JOIN d USING (customer_segment)"""
+
+
+@query(
+    "msr_11_retention_measures",
+    _RETENTION_SQL,
 )
 def retention_measures(spark, sf_dir):
     names = ["Cohort Size (M0 Users)", *_KEPT, *_KEPT_RATES, "Repeat Purchase Rate %", "Cohort Cumulative LTV per User"]
@@ -181,6 +251,17 @@ SELECT {key} n1 AS ab_control_sessions, n2 AS ab_treatment_sessions, n1 + n2 AS
 FROM d"""
 
 
+@query("msr_11_cube_retention", _RETENTION_SQL)
+def cube_retention(spark, sf_dir):
+    """The same from a cube of cohort months and segments; users are counted once over the cohorts."""
+    warehouse, slices = shop(spark, sf_dir), ["cohort_month", "customer_segment"]
+    tables, rows = Tables(warehouse), warehouse.fct_user_retention
+    names = ["Cohort Size (M0 Users)", *_KEPT, *_KEPT_RATES, "Repeat Purchase Rate %", "Cohort Cumulative LTV per User"]
+    numbers = number_entities(rows, "user_id", slices)
+    tables["fct_user_retention"] = msr.measure_cube(rows, "fct_user_retention", names, slices, numbers)
+    return msr.measures(tables, names, ["customer_segment"], as_of=ORDERS_AS_OF)
+
+
 @query("msr_14_experiment_measures", _EXPERIMENT_SQL.format(key="", tail=""), "click")
 def experiment_measures(spark, sf_dir):
     return evaluate(clicks(spark, sf_dir), _EXPERIMENT)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.functions.scalar import all_of, flag, is_set, safe_divide, scaled, sum_exact, unscaled
-from merchlens.operators.dimensions import days_between
+from merchlens.operators.cubes import Cube, build_cube
 
 # Fixed values.
 STAGE_NAMES = ("Landing", "Product View", "Add To Cart", "Checkout Started", "Payment Started", "Purchase")
@@ -312,8 +312,46 @@ def _aggregate(df: DataFrame, entity: str, parts: Mapping[str, Base], by: Sequen
     return df.groupBy(*by).agg(*finals)
 
 
+def measure_cube(
+    df: DataFrame,
+    fact: str,
+    names: Sequence[str],
+    slices: Sequence[str],
+    numbers: DataFrame,
+    stages: Sequence[str] = STAGE_COLUMNS,
+) -> Cube:
+    """What the measures ``names`` need of one fact, by slice, in a form that merges: see ``cubes``.
+
+    ``numbers``: ``cubes.number_entities`` of the fact's entity. ``measures`` takes the cube in place of the fact.
+    """
+    known, parts, context = library(stages), {}, Context({})
+
+    def visit(name: str) -> Column:
+        entry = known[name]
+        if isinstance(entry, Trend):
+            raise ValueError(f"{name} needs a time axis")
+        if isinstance(entry, Derived):
+            return entry.formula(visit, context)
+        if entry.fact == fact:
+            parts[slug(name)] = entry
+        return F.col(slug(name))
+
+    for name in names:
+        visit(name)
+    states = {column: (part.combine, part.value(df)) for column, part in parts.items()}
+    return build_cube(df, ENTITY[fact], slices, states, numbers, MONEY_PLACES)
+
+
+def _from_cube(cube: Cube, parts: Mapping[str, Base], by: Sequence[str], filters: Mapping[str, object]) -> DataFrame:
+    lost = [c for c in filters if c in cube.columns_of_fact and c not in cube.slices]
+    if lost:
+        raise KeyError(f"the cube keeps no {lost} to filter by")
+    kept = Cube(_matches(cube.frame, filters), cube.slices, cube.states, cube.columns_of_fact)
+    return kept.answer([slug(name) for name in parts], by, MONEY_PLACES)
+
+
 def measures(
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame | Cube],
     names: Sequence[str],
     group_by: Sequence[str] = (),
     filters: Mapping[str, object] | None = None,
@@ -323,7 +361,8 @@ def measures(
     """Evaluate measures per slice: one row per combination of ``group_by`` values.
 
     ``tables`` maps fact and dimension names to frames. A filter applies to every table that
-    has its column. Facts meet by a union of their few result rows, not by a join.
+    has its column. Facts meet by a union of their few result rows, not by a join. A fact may be given as its
+    ``measure_cube``; groups and filters are then among the cube's slices.
     """
     known, context = library(stages), Context(filters or {}, as_of)
     bases: dict[str, Base] = {}
@@ -349,7 +388,8 @@ def measures(
     result = None
     shared = []
     for fact, parts in by_fact.items():
-        df = _matches(tables[fact], context.filters)
+        table = tables[fact]
+        df = table if isinstance(table, Cube) else _matches(table, context.filters)
         missing = [c for c in group_by if c not in df.columns]
         if missing and fact != "dim_date":
             raise KeyError(f"{fact} has no {missing}")
@@ -357,7 +397,10 @@ def measures(
             # The calendar is the same in every slice.
             shared.append(_aggregate(df, ENTITY[fact], parts, []))
             continue
-        rows = _aggregate(df, ENTITY[fact], parts, group_by)
+        if isinstance(df, Cube):
+            rows = _from_cube(df, parts, group_by, context.filters)
+        else:
+            rows = _aggregate(df, ENTITY[fact], parts, group_by)
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
     if result is None:
         if not shared:
@@ -373,29 +416,62 @@ def measures(
     return result.select(*group_by, *outputs)
 
 
-def daily_trend(orders: DataFrame, windows: Sequence[int] = (7, 30), by: Sequence[str] = ()) -> DataFrame:
+def daily_trend(
+    orders: DataFrame, windows: Sequence[int] = (7, 30), by: Sequence[str] = (), every_day: bool = True
+) -> DataFrame:
     """Gross revenue per calendar day with trailing means over calendar days.
 
-    Days without orders count as zero; at the start of the calendar the mean divides by the
-    days there are. One row per day (and slice) reaches the window.
+    Days without orders count as zero; at the start of the calendar, which all slices share, the mean divides by the
+    days there are. Orders without a date are left out.
+
+    The window sees only the days on which a trailing sum changes: revenue enters it on its own day and leaves it
+    after each window's length. The days between are filled in behind the window; ``every_day=False`` leaves them and
+    the days without orders out, so a slice with few orders has few rows.
     """
-    daily = orders.groupBy(*by, "order_date").agg(sum_exact("subtotal_amount").alias("gross_revenue"))
-    span = daily.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last"))
-    if by:
-        slices = daily.select(*by).distinct()
-        lo, hi = span.select("first").scalar(), span.select("last").scalar()
-        days = slices.select(*by, F.explode(F.sequence(lo, hi)).alias("order_date"))
-    else:
-        days = days_between(span, "first", "last").withColumnRenamed("date_day", "order_date")
-    spine = days.join(daily, [*by, "order_date"], "left").withColumn(
-        "gross_revenue", F.coalesce("gross_revenue", F.lit(0))
+    names = [f"__sum_{k}" for k in windows]
+    daily = (
+        orders.where(F.col("order_date").isNotNull())
+        .groupBy(*by, F.col("order_date").alias("__day"))
+        .agg(F.coalesce(F.sum(unscaled("subtotal_amount")), F.lit(0)).alias("__units"))
+    )
+    span = daily.agg(F.min("__day").alias("first"), F.max("__day").alias("last"))
+    first, last = span.select("first").scalar(), span.select("last").scalar()
+    units, none = F.col("__units"), F.lit(0).cast("bigint")
+
+    def point(day, own, sums):
+        columns = [day.alias("__day"), F.lit(own).alias("__own"), (units if own else none).alias("__units")]
+        return F.struct(*columns, *[value.alias(name) for name, value in zip(names, sums)])
+
+    changes = [point(F.col("__day"), True, [units] * len(names)), point(first, False, [none] * len(names))]
+    for i, k in enumerate(windows):
+        changes.append(point(F.date_add("__day", k), False, [-units if i == j else none for j in range(len(names))]))
+    changing = (
+        daily.select(*by, F.explode(F.array(*changes)).alias("__point"))
+        .select(*by, "__point.*")
+        .groupBy(*by, "__day")
+        .agg(F.max("__own").alias("__own"), *[F.sum(c).alias(c) for c in ["__units", *names]])
+        .where(F.col("__day") <= last)
     )
-    columns = []
-    for days_back in windows:
-        frame = Window.partitionBy(*by).orderBy("order_date").rowsBetween(1 - days_back, Window.currentRow)
-        mean = safe_divide(F.sum("gross_revenue").over(frame), F.count(F.lit(1)).over(frame), 0)
-        columns.append(mean.alias(f"revenue_{days_back}_day_moving_avg"))
-    return spine.select(*by, "order_date", "gross_revenue", *columns)
+    order = Window.partitionBy(*by).orderBy("__day")
+    running = changing.select(
+        *by,
+        "__day",
+        "__own",
+        "__units",
+        *[F.sum(n).over(order).alias(n) for n in names],
+        F.coalesce(F.date_sub(F.lead("__day").over(order), 1), last).alias("__until"),
+    )
+    if every_day:
+        days = running.withColumn("order_date", F.explode(F.sequence("__day", "__until")))
+    else:
+        days = running.where("__own").withColumn("order_date", F.col("__day"))
+    revenue = scaled(F.when(F.col("order_date") == F.col("__day"), units).otherwise(0))
+    since_first = F.date_diff("order_date", first) + 1
+    means = [
+        safe_divide(scaled(n), F.least(F.lit(k), since_first), 0).alias(f"revenue_{k}_day_moving_avg")
+        for n, k in zip(names, windows)
+    ]
+    return days.select(*by, "order_date", revenue.alias("gross_revenue"), *means)
 
 
 def monthly_growth(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -239,3 +239,88 @@ def test_master_summary_is_one_row(spark, shop_tables):
     assert len(row) == 1
     assert row[0].total_sessions == 4 and row[0].total_cohorts == 2 and row[0].n_control == 2
     assert row[0].recommendation.startswith("DO NOT DEPLOY")
+
+
+def test_trend_of_sparse_slices_against_brute_force(spark):
+    """Gaps longer than a window, slices that start late, repeated days and a null slice."""
+    from datetime import date, timedelta
+
+    start = date(2024, 1, 1)
+    rows = [("a", 0, 10), ("a", 2, 20), ("a", 2, 5), ("a", 30, 7), ("b", 12, 3), ("b", 13, 4), (None, 40, 9), ("c", 5, None)]
+    orders = spark.createDataFrame(
+        [(s, start + timedelta(d), v) for s, d, v in rows] + [("a", None, 50)], "s string, order_date date, subtotal_amount int"
+    ).withColumn("subtotal_amount", F.col("subtotal_amount").cast("decimal(18,2)"))
+    expected = {}
+    for s in {s for s, _, _ in rows}:
+        for day in range(41):
+            within = [sum(v or 0 for t, d, v in rows if t == s and day - k < d <= day) for k in (3, 10)]
+            own = sum(v or 0 for t, d, v in rows if t == s and d == day)
+            expected[s, day] = (own, within[0] / min(3, day + 1), within[1] / min(10, day + 1))
+
+    def got(**kwargs):
+        out = measures.daily_trend(orders, (3, 10), ["s"], **kwargs).collect()
+        values = {(r.s, (r.order_date - start).days): tuple(map(float, r[2:])) for r in out}
+        assert len(values) == len(out)
+        return flat(values)
+
+    def flat(values):
+        return {(*key, i): v for key, three in values.items() for i, v in enumerate(three)}
+
+    assert got() == pytest.approx(flat(expected))
+    own_days = {(s, d) for s, d, _ in rows}
+    assert got(every_day=False) == pytest.approx(flat({key: expected[key] for key in own_days}))
+    assert measures.daily_trend(orders.limit(0), (3, 10), ["s"]).count() == 0
+
+
+def cube_rows(spark):
+    """Orders that come again in other slices, without an id, and a slice that counts none."""
+    rows = [(f"o{i % 70}", "completed" if i % 3 else "pending", i, i % 5 == 0, "AB"[i % 2], i % 4) for i in range(200)]
+    rows += [(None, "completed", 11, True, "A", 1), (None, None, 12, False, None, 9), ("x", "pending", 13, True, "C", 2)]
+    return spark.createDataFrame(
+        rows, "order_id string, status string, subtotal_amount int, is_first_order boolean, customer_segment string, day int"
+    ).withColumns({"subtotal_amount": F.col("subtotal_amount").cast("decimal(18,2)"), "is_repeat_order": ~F.col("is_first_order")})
+
+
+CUBE_NAMES = ["Gross Revenue", "Total Orders", "Average Order Value (AOV)", "Returning User Order Share %"]
+
+
+def test_cube_answers_like_the_fact(spark):
+    """Any coarser slice, a filter and a range; batches that share orders and slices count an order once."""
+    from merchlens.operators.cubes import number_entities
+
+    rows, slices = cube_rows(spark), ["day", "customer_segment"]
+    numbers, cube = None, None
+    for i in range(2):
+        batch = rows.where(F.pmod(F.hash("subtotal_amount"), F.lit(2)) == i)
+        numbers = number_entities(batch, "order_id", slices, numbers)
+        part = measures.measure_cube(batch, "fct_orders", CUBE_NAMES, slices, numbers)
+        cube = part if cube is None else cube.merged(part)
+    assert numbers.count() == numbers.select("number").distinct().count() == numbers.select("order_id").distinct().count() == 71
+
+    def answers(table, by, filters=None):
+        return sorted(map(repr, measures.measures({"fct_orders": table}, CUBE_NAMES, by, filters).collect()))
+
+    for table in (cube, cube.compacted()):
+        for by in ([], ["customer_segment"], ["day"], slices):
+            assert answers(table, by) == answers(rows, by)
+        assert answers(table, ["day"], {"customer_segment": "A"}) == answers(rows, ["day"], {"customer_segment": "A"})
+        assert answers(table.where(F.col("day") >= 2), []) == answers(rows.where(F.col("day") >= 2), [])
+    assert cube.compacted().frame.count() == cube.frame.select("__bucket", *slices).distinct().count()
+
+
+def test_cube_refuses_what_it_does_not_keep(spark):
+    from merchlens.operators.cubes import number_entities
+
+    rows = cube_rows(spark)
+    cube = measures.measure_cube(rows, "fct_orders", ["Total Orders"], ["day"], number_entities(rows, "order_id", ["day"]))
+    with pytest.raises(KeyError):
+        measures.measures({"fct_orders": cube}, ["Total Orders"], ["customer_segment"])
+    with pytest.raises(KeyError):
+        measures.measures({"fct_orders": cube}, ["Total Orders"], filters={"customer_segment": "A"})
+    with pytest.raises(KeyError):
+        measures.measures({"fct_orders": cube}, ["Gross Revenue"])
+    with pytest.raises(ValueError):
+        cube.merged(measures.measure_cube(rows, "fct_orders", ["Gross Revenue"], ["day"], number_entities(rows, "order_id", ["day"])))
+    empty = rows.limit(0)
+    none = measures.measure_cube(empty, "fct_orders", ["Total Orders"], ["day"], number_entities(empty, "order_id", ["day"]))
+    assert measures.measures({"fct_orders": none}, ["Total Orders"]).first().total_orders == 0
