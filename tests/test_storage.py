@@ -399,6 +399,34 @@ def test_materialised_models_read_back(spark, folder, shop_tables):
     assert rows(tables["fct_orders"]) == rows(w.fct_orders)
 
 
+def test_later_models_read_the_written_ones(spark, folder, shop_tables, monkeypatch):
+    from merchlens.operators import dimensions
+
+    w, seen, real = Warehouse(shop_tables, date(2024, 5, 1)), [], dimensions.dim_users
+    expected = rows(w.dim_users)
+
+    def spy(users, sessions, summary, *more, **named):
+        seen.append(summary.inputFiles())
+        return real(users, sessions, summary, *more, **named)
+
+    monkeypatch.setattr(dimensions, "dim_users", spy)
+    tables = materialise(w, folder, ("int_user_order_summary", "dim_users"))
+    assert len(seen) == 1 and seen[0] and all("/int_user_order_summary/" in f for f in seen[0])
+    assert rows(tables["dim_users"]) == expected
+
+
+def test_keys_meet_in_one_shuffle(spark):
+    """Whole numbers stay numbers; keys of another type meet in the parent's."""
+    parent = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (None, None)], "id int, name string")
+    child = spark.createDataFrame([("01", "a", 2), ("x", "c", 3), ("x", "c", 2**40), (None, None, None)], "p string, n string, q bigint")
+    checks = [quality.Check("parent", "id", "unique"), quality.Check("parent", "name", "unique")]
+    checks += [quality.Check("child", c, "relationships", parent=("parent", k)) for c, k in [("p", "id"), ("n", "name"), ("q", "id")]]
+    found = quality.key_failures({"parent": parent, "child": child}, checks)
+    assert tuple(found.first()) == (1, 1, 2, 2, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "ObjectHashAggregate" not in plan
+
+
 def test_work_folder_is_below_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     made = work_dir(spark, "x")
