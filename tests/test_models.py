@@ -188,6 +188,22 @@ def test_fan_out_join_matches_plain_left_join(spark, hot_rows):
     assert sorted(map(tuple, spread.collect()), key=repr) == plain
 
 
+def test_a_long_hot_list_is_not_broadcast(spark):
+    """With every key hot the list is as long as the keys: above Spark's threshold it goes through shuffles."""
+    df = spark.range(400).selectExpr("id", "id % 50 AS k", "id % 7 AS v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        got = hotkeys.sequence_rows(df, "k", ["id"], running={"v": "total"}, hot_rows=0)
+        spread = hotkeys.fan_out_join(spark.range(60).withColumnRenamed("id", "k"), df, "k", hot_rows=0, salts=3)
+        for made in (got, spread):
+            assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
+        expected = df.selectExpr("id", "k", "v", "sum(v) over (partition by k order by id rows unbounded preceding) total")
+        assert got.exceptAll(expected).isEmpty() and got.count() == 400 and spread.count() == 410
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_hot_list_is_bounded(spark):
     df = spark.range(1000).select((F.col("id") % 500).alias("k"))
     assert hotkeys.hot_keys(df, ["k"], hot_rows=1).count() == 500
