@@ -90,6 +90,37 @@ def test_since_limits_rows_but_not_the_sequence(shop_tables):
     assert got == {"ORD-2": 2, "ORD-3": 3, "ORD-4": 1, "ORD-5": 2}
 
 
+def exchanges(df):
+    """(what rows are dealt by, columns of the rows) of every shuffle."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append((node.outputPartitioning().toString(), node.output().mkString(" ")))
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_order_fact_deals_out_keys_only(spark, shop_tables):
+    """By user and by session go keys and what was found by them; the money and the items go by order alone."""
+    wanted = sorted(map(repr, Warehouse(shop_tables, datetime(2024, 5, 1)).fct_orders.collect()))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fact = Warehouse(shop_tables, datetime(2024, 5, 1)).fct_orders
+        dealt = exchanges(fact)
+        hot = Warehouse(shop_tables, datetime(2024, 5, 1), hot_rows=1).fct_orders
+        got = [sorted(map(repr, df.collect())) for df in (fact, hot)]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    by_others = [columns for by, columns in dealt if "user_id" in by or "session_id" in by]
+    assert len(by_others) >= 4  # orders and users, orders and sessions
+    assert not [c for c in by_others if "total_amount" in c or "payment_method" in c or "gross_profit" in c]
+    assert got == [wanted, wanted]
+
+
 def test_rfm_classes(shop):
     users = by(shop.dim_users, "user_id")
     assert users["USR-1"].frequency_band == "2-3 Orders" and users["USR-1"].monetary_tier == "Tier 2: Mid Value"
