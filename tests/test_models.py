@@ -121,6 +121,22 @@ def test_order_fact_deals_out_keys_only(spark, shop_tables):
     assert got == [wanted, wanted]
 
 
+def test_items_go_by_product_and_by_order_once(spark, shop):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = shop.int_order_items_aggregated
+        keys = sorted("order_id" in dealt for dealt, _ in exchanges(made))
+        got = by(made, "order_id")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert keys == [False, False, True]  # items and catalog by product, sums by order
+    assert got["ORD-2"].distinct_products_count == 2 and got["ORD-2"].primary_product_category == "Home"
+    assert got["ORD-2"].gross_profit == Decimal("26.00") and got["ORD-1"].total_items_count == 1
+
+
 def test_rfm_classes(shop):
     users = by(shop.dim_users, "user_id")
     assert users["USR-1"].frequency_band == "2-3 Orders" and users["USR-1"].monetary_tier == "Tier 2: Mid Value"
